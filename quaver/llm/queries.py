@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from quaver.llm import decontam
+from quaver.llm import decontam, linededup, quality
 from quaver.session import table
 
 
+def op2_quality_rules(spark, sf_dir):
+    return quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_line_dedup(spark, sf_dir):
+    return linededup.query(table(spark, sf_dir, "documents"))
+
+
 def op10_benchmark_decontamination(spark, sf_dir):
     return decontam.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries():
-    return {f.__name__: f for f in (op10_benchmark_decontamination,)}
+    return {f.__name__: f for f in (op2_quality_rules, op5_line_dedup, op10_benchmark_decontamination)}
 
 
 def oracle_sql():
