@@ -22,5 +22,38 @@ def queries():
     return {f.__name__: f for f in (op2_quality_rules, op5_line_dedup, op10_benchmark_decontamination)}
 
 
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_BLANKS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+
+OP5 = f"""
+with docs as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+lines as (
+  select r, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as i from docs),
+keyed as (select r, i, line, translate(trim(line, {_BLANKS}), {_AZ}) as k from lines),
+common as (select k from keyed where k <> '' group by k having count(distinct r) >= 10),
+kept as (select r, i, line, k in (select k from common) as gone from keyed),
+sums as (
+  select r, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+         coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '') as text
+  from kept group by r)
+select doc_id, n_lines, n_dropped, sha256(sums.text) as kept_sha256 from sums join docs using (r)
+"""
+
+OP10 = f"""
+with docs as (select row_number() over () as r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), {_AZ}), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as words from documents),
+items as (select item_id, list_filter(string_split_regex(translate(coalesce(text, ''), {_AZ}), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as words from benchmark),
+wide as (select item_id, words, least(10, len(words)) as w from items where len(words) > 0),
+grams as (select distinct item_id, w, unnest(list_transform(range(len(words) - w + 1), lambda i: array_to_string(words[i + 1 : i + w], ' '))) as gram from wide),
+widths as (select distinct w from grams),
+spots as (select r, w, unnest(range(1, len(words) - w + 2)) as i, words from docs join widths on len(words) >= w),
+hits as (select r, spots.w, i, item_id from spots join grams on spots.w = grams.w and array_to_string(words[i : i + spots.w - 1], ' ') = gram),
+covered as (select r, count(distinct p) as n_hit from (select distinct r, unnest(range(i, i + w)) as p from hits) group by r),
+named as (select r, count(distinct item_id) as n_items, array_to_string(list_sort(list(distinct cast(item_id as varchar))), ',') as names from hits group by r)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join covered using (r) left join named using (r)
+"""
+
+
 def oracle_sql():
-    return {}
+    return {"op5_line_dedup": OP5, "op10_benchmark_decontamination": OP10}
