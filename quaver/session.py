@@ -79,7 +79,12 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Remove a table that materialize() wrote and nobody reads any more."""
-    fs, where = _fs(df.sparkSession, df._quaver_path)
+    remove_path(df.sparkSession, df._quaver_path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder that scratch_path() named."""
+    fs, where = _fs(spark, path)
     fs.delete(where, True)
 
 
