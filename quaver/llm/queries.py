@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quaver.llm import bpe, chat, decontam, langid, linededup, quality, simhash, substring, toxicity
+from quaver.llm import bpe, chat, decontam, htmltext, langid, linededup, quality, simhash, substring, toxicity
 from quaver.session import table
 
 
@@ -34,6 +34,10 @@ def op7_language_id(spark, sf_dir):
     return langid.query(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark, sf_dir):
+    return htmltext.query(table(spark, sf_dir, "pages"))
+
+
 def op9_byte_level_bpe(spark, sf_dir):
     return bpe.query(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = (
     op5_line_dedup,
     op6_toxicity,
     op7_language_id,
+    op8_html_extraction,
     op9_byte_level_bpe,
     op10_benchmark_decontamination,
 )
