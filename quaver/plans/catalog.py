@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from quaver.plans import archive, corpus, music
+
+TABLES = (music.TABLE, corpus.TABLE, archive.TABLE)
+
 
 def queries():
-    return {}
+    return {name: run for part in TABLES for name, (run, _) in part.items()}
 
 
 def oracle_sql():
-    return {}
+    return {name: sql for part in TABLES for name, (_, sql) in part.items() if sql}
