@@ -22,7 +22,7 @@ def canonicalize(records: DataFrame, fail: bool = True) -> DataFrame:
     if not fail:
         return rows
     bad = F.raise_error(F.concat(F.lit("conflicting records for "), F.col("bucket"), F.lit("/"), F.col("key").cast("string")))
-    return rows.withColumn("conflict", F.when(F.col("conflict"), bad.cast("boolean")).otherwise(F.col("conflict"))).drop("conflict")
+    return rows.where(F.when(F.col("conflict"), bad.cast("boolean")).otherwise(F.lit(True))).drop("conflict")
 
 
 def ingest_stats(records: DataFrame, order: str = "position") -> DataFrame:

@@ -56,7 +56,8 @@ def bind_spans(spans: DataFrame, bars: DataFrame) -> DataFrame:
     """Spans with the bar they stand for; a span without a bar is an error."""
     joined = spans.join(bars.withColumn("found", F.lit(True)), BAR, "left")
     missing = F.raise_error(F.concat(F.lit("no bar for "), F.col("stream_id"), F.lit(":"), F.col("bar_index").cast("string")))
-    return joined.withColumn("found", F.when(F.col("found"), F.col("found")).otherwise(missing.cast("boolean"))).drop("found")
+    # in a filter, so that no projection can prune the check
+    return joined.where(F.when(F.col("found"), F.lit(True)).otherwise(missing.cast("boolean"))).drop("found")
 
 
 def resolve_streamless(spans: DataFrame, bars: DataFrame) -> DataFrame:

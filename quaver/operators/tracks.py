@@ -17,7 +17,7 @@ def is_note_on():
 
 def track_inventory(events: DataFrame) -> DataFrame:
     """Name, programs, channels, drums (channel 9), notes and end tick of every track, in one aggregation."""
-    named = F.when(F.col("kind") == "meta_03", F.decode("payload", F.lit("UTF-8")))
+    named = F.when(F.col("kind") == "meta_03", F.decode("payload", "UTF-8"))
     return events.groupBy(*TRACK).agg(
         F.min_by(named, F.when(F.col("kind") == "meta_03", F.col("seq"))).alias("track_name"),
         F.array_sort(F.collect_set(F.when(F.col("kind") == "program_change", F.col("data1")))).alias("programs"),

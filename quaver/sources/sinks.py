@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COMPLETE = "_COMPLETE.json"
+COMPLETE = "manifest.json"
 
 
 def _fs(spark: SparkSession, path: str):

@@ -36,8 +36,8 @@ def read_inventory(spark: SparkSession, path: str, schema_name: str) -> DataFram
     """Inventory records (plain or gzip); a wrong schema, identity or size fails."""
     rows = read_json_lines(spark, path, INVENTORY)
     good = (F.col("schema") == schema_name) & (F.col("object_id") == object_id(F.col("bucket"), F.col("key"))) & (F.col("size") >= 0)
-    bad = F.raise_error(F.concat(F.lit("bad inventory record: "), F.coalesce("key", F.lit("")))).cast("string")
-    return rows.withColumn("schema", F.when(F.coalesce(good, F.lit(False)), F.col("schema")).otherwise(bad))
+    bad = F.raise_error(F.concat(F.lit("bad inventory record: "), F.coalesce("key", F.lit("")))).cast("boolean")
+    return rows.where(F.when(F.coalesce(good, F.lit(False)), F.lit(True)).otherwise(bad))
 
 
 def read_partial_inventory(spark: SparkSession, path: str) -> DataFrame:
@@ -78,9 +78,8 @@ def completed_shards(receipts: DataFrame) -> DataFrame:
 
 def checked_receipts(receipts: DataFrame, shards: int) -> DataFrame:
     """COMPLETE receipts; a shard outside 0 .. shards - 1 fails."""
-    bad = F.raise_error(F.concat(F.lit("receipt out of range: "), F.col("shard_id").cast("string"))).cast("int")
-    inside = F.col("shard_id").between(0, shards - 1)
-    return receipts.where("state = 'COMPLETE'").withColumn("shard_id", F.when(inside, F.col("shard_id")).otherwise(bad))
+    bad = F.raise_error(F.concat(F.lit("receipt out of range: "), F.col("shard_id").cast("string"))).cast("boolean")
+    return receipts.where("state = 'COMPLETE'").where(F.when(F.col("shard_id").between(0, shards - 1), F.lit(True)).otherwise(bad))
 
 
 def accepted_rows(items: DataFrame) -> DataFrame:
