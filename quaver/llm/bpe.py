@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding with recursive relational queries, one DuckDB per task.
 
 A text is split by the tokenizer's pattern; pieces that are tokens need no merging. Every other
-distinct piece of a chunk of texts becomes rows (word, pos, tok), one per byte, and a recursive
-query joins neighbours with the merge table (a, b, c) and contracts, in each round, the
-leftmost pair of least rank of every word, until no word has a pair. Decoding joins
+distinct piece of a chunk of texts becomes rows (word, pos, tok), one per byte. A recursive
+query lays the tokens of every word out by position, joins neighbours with the merge table
+(a, b, c) and contracts, in each round, the leftmost pair of least rank of every word, until no
+word has a pair. Decoding joins
 (row, pos, id) with the vocabulary and aggregates the bytes in order.
 
 Rounds cost a word's length each, so a piece of more than LONG bytes is contracted by the same
@@ -22,6 +23,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import duckdb
 import numpy as np
@@ -36,28 +38,25 @@ from quaver.session import ship
 
 LONG = 96
 #: Text bytes whose new pieces share one recursive query.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 12 << 20
 #: Distinct pieces that a task remembers.
 REMEMBERED = 400_000
 
 CONTRACT = """
-with recursive state(word, pos, tok, turn) as (
-  select word, pos, tok, 0 from start
+with recursive state(word, toks, done) as (
+  select word, toks, false from start
   union all
-  select s.word, s.pos, case when s.pos = b.pos then b.c else s.tok end, s.turn + 1
-  from state s join (
-    select word, min_by(pos, rank) as pos, min_by(next, rank) as next, min_by(c, rank) as c
+  select s.word, case when b.pos is null then s.toks else s.toks[:b.pos - 1] || [b.c] || s.toks[b.pos + 2:] end, b.pos is null
+  from state s left join (
+    select word, (min(rank) % 1000)::int as pos, (min(rank) // 1000)::int as c
     from (
-      select p.word, p.pos, p.next, m.c, m.c::bigint * 1000000 + p.pos as rank
-      from (select word, pos, tok,
-                   lead(pos) over (partition by word order by pos) as next,
-                   lead(tok) over (partition by word order by pos) as tok2
-            from state) p join merges m on m.a = p.tok and m.b = p.tok2)
+      select p.word, m.c::bigint * 1000 + p.pos as rank
+      from (select word, unnest(toks[:-2]) as a, unnest(toks[2:]) as b, unnest(range(1, len(toks))) as pos
+            from state where not done and len(toks) > 1) p
+      join merges m on m.a = p.a and m.b = p.b)
     group by word) b on s.word = b.word
-  where s.pos <> b.next)
-select word, list(tok order by pos) as ids
-from state join (select word, max(turn) as turn from state group by word) using (word, turn)
-group by word
+  where not s.done)
+select word, toks as ids, array_to_string(toks, ',') as listed from state where done
 """
 
 DECODE = """
@@ -110,73 +109,93 @@ def contract(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
 
+class Numbers(dict):
+    """Strings numbered as they are met; `new` has those without ids yet."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
+def pick(flat: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the runs flat[bounds[k]:bounds[k + 1]] for every k of which, end to end, and their bounds)."""
+    size = bounds[which + 1] - bounds[which]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(bounds[which] - (ends - size), size) + np.arange(total)], np.append(0, ends)
+
+
 class Codec:
-    """A task's tokenizer: its DuckDB, and the pieces met so far as (number, flat ids, bounds)."""
+    """A task's tokenizer: its DuckDB, and the pieces met so far."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.ranks = vocabulary.ranks
+        self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.split = regex.compile(vocabulary.pattern).findall
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self._load("merges", vocabulary.merges())
         self._load("vocab", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]}))
         self.forget()
 
-    def _load(self, name: str, rows: pa.Table) -> None:
-        self.con.register("incoming", rows)
-        self.con.execute(f"create or replace table {name} as select * from incoming")
-        self.con.unregister("incoming")
-
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.text: list[str] = []
         self.flat, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def merge(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of pieces that are no tokens themselves, by the recursive query."""
-        out: list[list[int]] = [[]] * len(words)
-        short = [k for k, w in enumerate(words) if len(w) <= LONG]
-        for k, w in enumerate(words):
-            if len(w) > LONG:
-                out[k] = contract(w, self.ranks)
-        if short:
-            byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-            sizes = np.array([len(words[k]) for k in short])
-            pos = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            tok = byte[np.frombuffer(b"".join([words[k] for k in short]), np.uint8)]
-            self._load("start", pa.table({"word": pa.array(np.repeat(short, sizes), pa.int32()), "pos": pa.array(pos, pa.int32()), "tok": pa.array(tok)}))
-            for word, ids in self.con.execute(CONTRACT).fetchall():
-                out[word] = ids
-        return out
+    def _load(self, name: str, rows: pa.Table) -> None:
+        self.con.register("incoming", rows)
+        self.con.execute(f"create or replace table {name} as select * from incoming")
+        self.con.unregister("incoming")
 
-    def learn(self, pieces: set[str]) -> None:
-        """Number the pieces that are new."""
-        new = sorted(pieces.difference(self.number))
-        ids: list[list[int]] = []
+    def merge(self, words: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray, list[str]]:
+        """For pieces that are no tokens: their places in `words`, ids end to end, numbers of ids, and decimal lists."""
+        if not words:
+            return [], np.zeros(0, np.int32), np.zeros(0, np.int64), []
+        toks = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(w) for w in words])), pa.int32()), pa.array(self.byte[np.frombuffer(b"".join(words), np.uint8)]))
+        self._load("start", pa.table({"word": pa.array(np.arange(len(words)), pa.int32()), "toks": toks}))
+        out = self.con.sql(CONTRACT).to_arrow_table().combine_chunks()
+        ids = out.column("ids").chunk(0)
+        return out.column("word").to_pylist(), ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy()), out.column("listed").to_pylist()
+
+    def learn(self, new: list[str]) -> None:
+        """The ids of new pieces, in order: whole tokens, pieces for the query, and very long ones."""
         raw = [p.encode() for p in new]
-        hard = [k for k, w in enumerate(raw) if w not in self.ranks]
-        merged = dict(zip(hard, self.merge([raw[k] for k in hard]), strict=True))
-        for k, w in enumerate(raw):
-            ids.append(merged[k] if k in merged else [self.ranks[w]])
-        for p in new:
-            self.number[p] = len(self.number)
-        self.text += [",".join(map(str, x)) for x in ids]
-        self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], np.int32)])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)])
-
-    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
-        """(piece numbers of each text, ids of all texts, bounds of each text's ids)."""
+        known = list(map(self.ranks.get, raw))
+        whole = [k for k, i in enumerate(known) if i is not None]
+        query = [k for k, i in enumerate(known) if i is None and len(raw[k]) <= LONG]
+        long = [k for k, i in enumerate(known) if i is None and len(raw[k]) > LONG]
+        places, merged, sizes, listed = self.merge([raw[k] for k in query])
+        rest = [contract(raw[k], self.ranks) for k in long]
+        found = np.array([*whole, *(query[i] for i in places), *long], np.int64)
+        flat = np.concatenate([np.array([known[k] for k in whole], np.int32), merged, np.array([i for x in rest for i in x], np.int32)])
+        sizes = np.concatenate([np.ones(len(whole), np.int64), sizes, np.array([len(x) for x in rest], np.int64)])
+        texts = [*(str(known[k]) for k in whole), *listed, *(",".join(map(str, x)) for x in rest)]
+        order = np.argsort(found)
+        ids, bounds = pick(flat, np.append(0, np.cumsum(sizes)), order)
+        self.text += [texts[k] for k in order.tolist()]
+        self.flat = np.concatenate([self.flat, ids])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + bounds[1:]])
+
+    def encode(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(decimal list of each text's ids, ids of all texts, bounds of each text's ids)."""
         if len(self.number) > REMEMBERED:
             self.forget()
-        split = [self.split(t) if t else [] for t in texts]
-        self.learn(set().union(*split))
-        number = self.number.__getitem__
-        pieces = [list(map(number, x)) for x in split]
-        all_pieces = np.fromiter((k for x in pieces for k in x), np.int64)
-        size = self.bounds[all_pieces + 1] - self.bounds[all_pieces]
-        ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.bounds[all_pieces] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        at = np.concatenate(([0], np.cumsum([len(x) for x in pieces], dtype=np.int64)))
-        return pieces, ids, np.concatenate(([0], ends))[at]
+        numbers, counts = [], []
+        for t in texts:
+            pieces = self.split(t) if t else ()
+            numbers.extend(map(self.number.__getitem__, pieces))
+            counts.append(len(pieces))
+        self.learn(self.number.new)
+        self.number.new = []
+        each = map(self.text.__getitem__, numbers)
+        listed = [",".join(islice(each, n)) for n in counts]
+        ids, bounds = pick(self.flat, self.bounds, np.array(numbers, np.int64))
+        return listed, ids, bounds[np.append(0, np.cumsum(counts, dtype=np.int64))]
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """The bytes of each run ids[bounds[k]:bounds[k + 1]]."""
@@ -231,9 +250,8 @@ def query(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
         for batch in slices(batches, limit=CHUNK_BYTES):
-            pieces, ids, bounds = codec.encode(batch.column("text").to_pylist())
-            text = codec.text.__getitem__
-            listed = [hashlib.sha256(",".join(map(text, x)).encode()).hexdigest() for x in pieces]
+            listed, ids, bounds = codec.encode(batch.column("text").to_pylist())
+            listed = [hashlib.sha256(x.encode()).hexdigest() for x in listed]
             decoded = [hashlib.sha256(x).hexdigest() for x in codec.decode(ids, bounds)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(listed), pa.array(decoded)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
