@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -82,6 +84,14 @@ def discard(df: DataFrame) -> None:
     remove_path(df.sparkSession, df._quaver_path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs removed now: Spark does so once the driver's garbage is collected."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a file or folder that scratch_path() named."""
     fs, where = _fs(spark, path)

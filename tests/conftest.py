@@ -10,7 +10,7 @@ from quaver.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", cpus=4, partitions=4)
+    session = local_session("tests", cpus=int(os.environ.get("TEST_CPUS", "4")), partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
