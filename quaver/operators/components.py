@@ -19,7 +19,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     ends = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u != v")
     live = materialize(ends.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
     nodes = live.select(F.col("u").alias("id")).union(live.select(F.col("v").alias("id"))).distinct()
-    label = materialize(nodes.select("id", F.col("id").alias("at")), "label")
+    label, first, moves = nodes.select("id", F.col("id").alias("at")), live, []
     for turn in range(max_rounds):
         if live.isEmpty():
             break
@@ -30,12 +30,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         left = live.join(move.select("u", F.col("to").alias("a")), "u").select("a", "v")
         done = left.join(move.select(F.col("u").alias("v"), F.col("to").alias("b")), "v").where("a != b")
         after = materialize(done.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "edges")
-        moved = label.join(move.select(F.col("u").alias("at"), "to"), "at", "left").select("id", F.coalesce("to", "at").alias("at"))
-        next_label = materialize(moved, "label")
-        for old in (live, label, move):
-            discard(old)
-        live, label = after, next_label
+        if live is not first:
+            discard(live)
+        live = after
+        moves.append(move)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    # the moves of all rounds, one after the other, lead each node to its component's last label
+    for move in moves:
+        label = label.join(move.select(F.col("u").alias("at"), "to"), "at", "left").select("id", F.coalesce("to", "at").alias("at"))
+    label = materialize(label, "label")
+    for old in (first, *moves):
+        discard(old)
     smallest = materialize(label.groupBy("at").agg(F.min("id").alias("root")), "roots")
     return label.join(smallest, "at").select("id", "root")
