@@ -43,11 +43,14 @@ _LETTER = regex.compile(r"\p{L}").search
 
 @dataclass
 class Pieces:
-    """Piece numbers by the hash of their bytes; numbers 0 to 255 are the byte pieces."""
+    """Piece numbers by the hash of their bytes; numbers 0 to 255 are the byte pieces.
+
+    tables[k] holds, by 20 bits of the hash, the place of a piece in `hashes`, or -1; a piece
+    whose slot is taken goes to the next table, which reads other bits.
+    """
 
     hashes: np.ndarray
-    numbers: np.ndarray
-    bits: np.ndarray
+    tables: list[np.ndarray]
     longest: int
     size: int
 
@@ -63,27 +66,45 @@ class Pieces:
         pieces = sorted(p for p in found if 0 < len(p) <= MOST_BYTES)
         data = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum([len(p) for p in pieces])
-        h = spans(data, np.append(0, ends[:-1]), ends)
-        order = np.argsort(h)
-        bits = np.zeros(1 << 20, bool)
-        bits[(h >> np.uint64(44)).astype(np.int64)] = True
-        return cls(h[order], order.astype(np.int32) + 256, bits, max(map(len, pieces)), 256 + len(pieces))
+        starts = np.append(0, ends[:-1])
+        h = spans(prefix(data), starts, ends)
+        tables, left = [], np.arange(len(h))
+        while len(left):
+            table = np.full(1 << 20, -1, np.int32)
+            at = cls.slot(h[left], len(tables))
+            table[at] = left
+            left = left[table[at] != left]
+            tables.append(table)
+        return cls(h, tables, max(map(len, pieces)), 256 + len(pieces))
+
+    @staticmethod
+    def slot(h: np.ndarray, k: int) -> np.ndarray:
+        return ((h >> np.uint64(44 - 7 * k)) & np.uint64((1 << 20) - 1)).astype(np.int64)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Piece numbers of hashes, -1 where none has it."""
         out = np.full(len(h), -1, np.int32)
-        ask = np.flatnonzero(self.bits[(h >> np.uint64(44)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.hashes, h[ask]), len(self.hashes) - 1)
-        same = self.hashes[at] == h[ask]
-        out[ask[same]] = self.numbers[at[same]]
+        ask = np.arange(len(h))
+        for k, table in enumerate(self.tables):
+            place = table[self.slot(h[ask], k)]
+            taken = place >= 0
+            ask, place = ask[taken], place[taken]
+            same = self.hashes[place] == h[ask]
+            out[ask[same]] = place[same] + 256
+            ask = ask[~same]
         return out
 
 
-def spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of data[start:end]."""
-    power, inverse = _power_tables(len(data) + 1)
+def prefix(data: np.ndarray) -> np.ndarray:
+    power, _ = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
+    return sums
+
+
+def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of data[start:end], from the sums of prefix(data)."""
+    _, inverse = _power_tables(len(sums))
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -109,10 +130,10 @@ class Lattice:
         room = np.repeat(ends, self.length) - np.arange(n)
         self.most = int(min(pieces.longest, self.length[0]))
         self.arc = np.full((n, self.most), -1, np.int32)
-        here = np.arange(n)
+        here, sums = np.arange(n), prefix(self.data)
         for m in range(1, self.most + 1):
             here = here[room[here] >= m]
-            self.arc[here, m - 1] = pieces.find(spans(self.data, here, here + m))
+            self.arc[here, m - 1] = pieces.find(spans(sums, here, here + m))
         bare = self.arc[:, 0] < 0
         self.arc[bare, 0] = self.data[bare]
         steps = int(self.length[0])
@@ -258,7 +279,8 @@ def predict(docs: DataFrame, path: str | None = None, rows: int = TRAIN_ROWS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = model.value.langs
-        for batch in slices(batches):
+        # larger slices: a word that recurs in a slice is scored once
+        for batch in slices(batches, limit=6 << 20):
             lettered = np.array([bool(t and _LETTER(t)) for t in batch.column("text").to_pylist()], bool)
             names, score = np.array(["und"] * batch.num_rows, object), np.zeros(batch.num_rows)
             if langs:
