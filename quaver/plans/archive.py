@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from quaver.functions import ids
 from quaver.operators import inventory as inv
 from quaver.operators import registry as reg
-from quaver.operators import tracks
+from quaver.operators import dedupe, tracks, validation
+from quaver.operators.canonical import canonical_bars, canonical_notes
 from quaver.plans.adapters import INVENTORY_SQL, ITEMS_SQL, NOTES_SQL, REGISTRY_SQL, inventory, items, notes, old_and_new, registry
+from quaver.plans.corpus import split_sql
+from quaver.sources import midi
+
+SPLIT = split_sql("p")
 
 CLASSES = """
 classes as (
@@ -78,6 +83,25 @@ def _flattened(s, d):
     return tracks.flatten_pedals(_track_events(s, d)).select("file", "seq", "tick", "kind", "data1", "data2", "zero_duration_dropped", "end_of_track_noteoffs")
 
 
+def _midi_events(s, d):
+    """Notes written as one-track MIDI files and read back."""
+    rows = _track_events(s, d).where("kind != 'control_change'").withColumns({"payload": F.lit(None).cast("binary"), "tpq": F.lit(480), "format": F.lit(1)})
+    files = midi.write_candidates(rows).select(F.col("file").alias("path"), F.col("midi").alias("content"))
+    return midi.read_events(files)
+
+
+def _violations(s, d):
+    n = notes(s, d)
+    broken = canonical_notes(n).withColumn("velocity", F.when(F.col("note_index") % 40 == 0, 0).otherwise(F.col("velocity")))
+    return validation.note_violations(broken, canonical_bars(n))
+
+
+def _split_violations(s, d):
+    rows = items(s, d)
+    by_piece = rows.select(F.col("piece_id").cast("string").alias("piece_id")).distinct().withColumn("split", ids.hash_split(F.col("piece_id")))
+    return validation.split_violations(rows, by_piece)
+
+
 def _object_ids(s, d):
     return inventory(s, d).select("bucket", "key", ids.object_id(F.col("bucket"), F.col("key").cast("string")).alias("object_id"))
 
@@ -177,6 +201,39 @@ select dataset_id, count(*) as sample_size, count(*) filter (where status = 'ACC
 codes as (select dataset_id, 'A' as code from a where place <= 20 union all select dataset_id, 'B' from a where place <= 20 and doc_id % 2 = 1) select dataset_id, code, count(*) as streams from codes group by all""",
     ),
     "pedal_flattening": (_flattened, None),
+    "midi_round_trip": (
+        lambda s, d: _midi_events(s, d).where("kind in ('note_on', 'note_off')").select("file", "tick", "kind", "data1", "data2"),
+        f"""with {NOTES_SQL}
+select stream_id as file, onset_tick as tick, 'note_on' as kind, cast(pitch % 12 + 60 as integer) as data1, cast(velocity as integer) as data2 from v_notes
+union all select stream_id, onset_tick + duration_ticks, 'note_off', cast(pitch % 12 + 60 as integer), 0 from v_notes""",
+    ),
+    "track_inventory": (
+        lambda s, d: tracks.track_inventory(_midi_events(s, d)).select("file", "track_index", "channels", "is_drum", "has_notes", "end_tick"),
+        f"""with {NOTES_SQL}
+select stream_id as file, cast(0 as integer) as track_index, [cast(0 as integer)] as channels, false as is_drum, true as has_notes, max(onset_tick + duration_ticks) as end_tick from v_notes group by stream_id""",
+    ),
+    "note_violations": (
+        _violations,
+        f"""with {NOTES_SQL} select 'velocity out of range' as rule, stream_id || ':' || note_index as key from v_notes where note_index % 40 = 0""",
+    ),
+    "split_violations": (
+        _split_violations,
+        f"""with {ITEMS_SQL}, s as (select canonical_hash, {SPLIT} as split from (select canonical_hash, cast(piece_id as varchar) as p from v_items))
+select 'hash in two splits' as rule, canonical_hash as key from s group by canonical_hash having min(split) <> max(split)""",
+    ),
+    "dedupe_violations": (
+        lambda s, d: validation.dedupe_violations(dedupe.first_owner(items(s, d)).withColumn("status", F.when(F.col("shard_id") == 3, "DUPLICATE").otherwise(F.col("status")))),
+        f"""with {ITEMS_SQL}, owners as (select canonical_hash, first(shard_id order by shard_id, stream_id) as k from v_items group by canonical_hash)
+select 'hash without one owner' as rule, canonical_hash as key from owners where k = 3""",
+    ),
+    "first_streams": (
+        lambda s, d: validation.first_streams(validation.confidence(notes(s, d)), 25),
+        f"with {NOTES_SQL} select stream_id, least(1.0, count(*) / 8) as tonal_confidence from v_notes group by stream_id order by stream_id limit 25",
+    ),
+    "pending_items": (
+        lambda s, d: validation.pending(items(s, d).select("stream_id"), items(s, d).select("stream_id", F.when(F.col("doc_id") % 3 == 0, "COMPLETE").otherwise("FAILED").alias("state")), ["stream_id"]),
+        f"with {ITEMS_SQL} select stream_id from v_items where doc_id % 3 <> 0",
+    ),
     "next_fit_packs": (_packs, None),
     "semantic_hash": (_semantic, f"""with {ITEMS_SQL} select stream_id, sha256('{{"dataset_id":"' || dataset_id || '","piece_id":' || piece_id || ',"shard_id":' || shard_id || '}}') as semantic_sha256 from v_items"""),
     "realtime_stripping": (

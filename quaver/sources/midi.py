@@ -128,3 +128,18 @@ def read_events(files: DataFrame, errors: str = "fail") -> DataFrame:
                 yield pd.DataFrame(rows, columns=names).astype({"channel": "Int32", "data1": "Int32", "data2": "Int32"})
 
     return files.select("path", "content").mapInPandas(run, EVENTS)
+
+
+def write_candidates(events: DataFrame) -> DataFrame:
+    """(file, track_index, midi): every track's events as a one-track file of format 1, in (tick, seq) order.
+
+    Realtime events cannot stand in a file and are left out; a track is bounded by its file.
+    """
+    columns = ["tick", "kind", "channel", "data1", "data2"]
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf[pdf["kind"] != "realtime"].sort_values(["tick", "seq"])
+        track = [(int(t), k, *(None if pd.isna(v) else int(v) for v in (c, a, b)), None if p is None else bytes(p)) for t, k, c, a, b, p in rows[[*columns, "payload"]].itertuples(index=False)]
+        return pd.DataFrame({"file": [key[0]], "track_index": [key[1]], "midi": [serialize(int(rows["tpq"].iloc[0]), [track])]})
+
+    return events.groupBy("file", "track_index").applyInPandas(run, "file string, track_index int, midi binary")

@@ -96,3 +96,16 @@ def test_materialization_gate(spark):
         "schema string, tempo_count int, meter_count int, first_tick long, event_hash string, min_duration long, span_end long",
     )
     assert [r.reject_reason for r in canonical.materialization_gate(rows).collect()] == [None, "schema", "tempo_count", "meter_count", "first_tick", "hash", "duration", "span"]
+
+
+def test_violations_and_gate(f1):
+    from quaver.operators import validation
+
+    good = canonical.canonical_notes(f1)
+    bars = canonical.canonical_bars(f1)
+    validation.require_none(validation.note_violations(good, bars))
+    with pytest.raises(ValueError, match="velocity out of range"):
+        validation.require_none(validation.note_violations(good.withColumn("velocity", F.lit(0)), bars))
+    validation.identity_gate({"hash": "x", "shape": [1]}, {"hash": "x"})
+    with pytest.raises(ValueError, match="not the base snapshot"):
+        validation.identity_gate({"hash": "y"}, {"hash": "x"})

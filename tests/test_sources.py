@@ -80,3 +80,29 @@ def test_batches_are_idempotent(spark, tmp_path):
     for k in (0, 0, 1):
         run(spark.range(1), k)
     assert seen == [0, 1]
+
+
+def test_archives_settings_and_commands(spark, tmp_path):
+    import zipfile
+
+    from quaver import cli
+    from quaver.config import Settings
+    from quaver.sources import archives
+
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("deep/x.mid", b"1")
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("part.zip", inner.getvalue())
+        z.writestr("__MACOSX/._x", b"")
+        z.writestr("b.mid", b"2")
+    assert sorted((r.path, bytes(r.content)) for r in archives.read_archives(spark, str(tmp_path)).collect()) == [("b.mid", b"2"), ("part/deep/x.mid", b"1")]
+    for bad in ("../x", "/etc/x", "a/../../x"):
+        with pytest.raises(ValueError, match="unsafe"):
+            archives.safe_name(bad)
+    (tmp_path / "s.toml").write_text("shards = 3\n")
+    assert Settings.read(str(tmp_path / "s.toml"), {"QUAVER_HEADROOM": "2"}) == Settings(shards=3, headroom=2.0)
+    rows = spark.createDataFrame([("s", k, 480 * k, 480, 60 + k, 80, 1920, 4.0) for k in range(6)], "stream_id string, note_index long, onset_tick long, duration_ticks long, pitch long, velocity long, bar_ticks long, beats double")
+    rows.write.parquet(str(tmp_path / "notes"))
+    assert cli.main(["extract-features", "--notes", str(tmp_path / "notes"), "--output", str(tmp_path / "features")], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "features")).count() == 2
