@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import os
 import tempfile
@@ -84,6 +85,18 @@ def discard(df: DataFrame) -> None:
     remove_path(df.sparkSession, df._quaver_path)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Jobs started here send at most so many rows to Python in one batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Have the shuffle files of finished jobs removed now: Spark does so once the driver's garbage is collected."""
     for _ in range(2):
