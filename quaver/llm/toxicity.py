@@ -24,6 +24,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,6 +105,14 @@ class Counts:
     four_kinds: np.ndarray
     two: np.ndarray  # [65536]
 
+    def __getstate__(self) -> dict:
+        """Compressed: the tables are mostly zeros or small counts, and every executor keeps a copy on disk."""
+        return {k: (v.shape, zstandard.compress(v.astype(np.float32).tobytes(), 1)) for k, v in vars(self).items()}
+
+    def __setstate__(self, state: dict) -> None:
+        for k, (shape, raw) in state.items():
+            setattr(self, k, np.frombuffer(zstandard.decompress(raw), np.float32).reshape(shape))
+
     def difference(self, key: np.ndarray) -> np.ndarray:
         """log P(symbol | context, toxic) - log P(symbol | context, ordinary)."""
         d = DISCOUNT
@@ -134,7 +144,7 @@ def features(counts: Counts, data: np.ndarray, offsets: np.ndarray) -> np.ndarra
 
 @dataclass
 class Model:
-    counts: Counts | None
+    counts: Broadcast | None
     weights: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
@@ -142,11 +152,11 @@ class Model:
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.counts is None:
             return np.zeros(len(offsets) - 1)
-        x = (features(self.counts, data, offsets) - self.mean) / self.scale
+        x = (features(self.counts.value, data, offsets) - self.mean) / self.scale
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -40, 40)))
 
 
-def calibrate(counts: Counts, x: np.ndarray, y: np.ndarray) -> Model:
+def calibrate(counts: Broadcast, x: np.ndarray, y: np.ndarray) -> Model:
     """Ridge logistic regression on the few normalised differences, classes weighted by the root of their size."""
     mean, scale = x.mean(0), x.std(0) + 1e-9
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
@@ -198,19 +208,30 @@ def _fold(table: DataFrame, column: str, values: list[str], move: int, mask: int
     """Sums of `values` by slot of (column >> move & mask), as dense arrays: packed per block of slots by the tasks."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {}
+        slots, sums = [], {v: [] for v in values}
         for batch in batches:
             key = batch.column(column).to_numpy(zero_copy_only=False).view(np.uint64)
-            at = slot((key >> np.uint64(move)) & np.uint64(mask))
+            at, which = np.unique(slot((key >> np.uint64(move)) & np.uint64(mask)), return_inverse=True)
+            slots.append(at)
             for v in values:
-                sums[v] = sums.get(v, 0) + np.bincount(at, batch.column(v).to_numpy(zero_copy_only=False), SIZE)
-        for v, dense in sums.items():
-            for block, part in enumerate(dense.reshape(-1, 1 << BLOCK_BITS)):
-                if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([v]), pa.array([block], pa.int32()), pa.array([part.astype(np.float32).tobytes()], pa.binary())], names=["name", "block", "part"])
+                sums[v].append(np.bincount(which, batch.column(v).to_numpy(zero_copy_only=False), len(at)))
+        if not slots:
+            return
+        at, which = np.unique(np.concatenate(slots), return_inverse=True)
+        cuts = np.searchsorted(at, np.arange(0, SIZE + 1, 1 << BLOCK_BITS)).tolist()
+        for v in values:
+            total = np.bincount(which, np.concatenate(sums[v]), len(at)).astype(np.float32)
+            for block, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                if b > a:
+                    sparse = (at[a:b] & ((1 << BLOCK_BITS) - 1)).astype(np.uint16).tobytes() + total[a:b].tobytes()
+                    yield pa.RecordBatch.from_arrays([pa.array([v]), pa.array([block], pa.int32()), pa.array([sparse], pa.binary())], names=["name", "block", "part"])
 
     def add(rows: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_buffer(), np.float32) for x in rows.column("part"))
+        total = np.zeros(1 << BLOCK_BITS, np.float32)
+        for x in rows.column("part"):
+            raw = x.as_buffer().to_pybytes()
+            n = len(raw) // 6
+            total[np.frombuffer(raw, np.uint16, n)] += np.frombuffer(raw[2 * n :], np.float32)
         return pa.table({"name": rows.column("name")[:1], "block": rows.column("block")[:1], "part": pa.array([total.tobytes()], pa.binary())})
 
     kind = "name string, block int, part binary"
@@ -245,8 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     counted = materialize(text.join(y.where(fold != 0), "doc_id").select("text", "y"), "training")
     if len(counted.select("y").distinct().collect()) < 2:
         return nothing
-    counts = count(counted)
-    shared = spark.sparkContext.broadcast(counts)
+    shared = spark.sparkContext.broadcast(count(counted))
     chosen = y.where(fold == 0).orderBy(F.xxhash64("doc_id", F.lit(12)), "doc_id", "y").limit(CALIBRATION_ROWS).collect()
     picked = F.broadcast(spark.createDataFrame([tuple(r) for r in chosen], "doc_id long, y int"))
 
@@ -258,16 +278,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = sorted(map(tuple, text.join(picked, "doc_id").mapInArrow(run, "doc_id long, y int, a double, b double, c double, d double").collect()))
     if len({r[1] for r in rows}) < 2:
         return nothing
-    return calibrate(counts, np.array([r[2:] for r in rows]), np.array([r[1] for r in rows], float))
+    return calibrate(shared, np.array([r[2:] for r in rows]), np.array([r[1] for r in rows], float))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score) for every row."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    model = fit(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            s = model.value.score(*text_bytes(batch.column("text")))
+            s = model.score(*text_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s)], names=["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
