@@ -34,6 +34,8 @@ from quaver.session import materialize, ship
 
 FOLDS = 5
 CALIBRATION_ROWS = 6000
+#: Labels (16 bytes each) that one broadcast may hold, so that texts need not move to meet them.
+BROADCAST_LABELS = 2_000_000
 DISCOUNT, STRENGTH = 0.75, 30.0
 BITS, BLOCK_BITS = 21, 15
 SIZE = 1 << BITS
@@ -263,7 +265,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     y = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(3))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = materialize(text.join(y.where(fold != 0), "doc_id").select("text", "y"), "training")
+    train = y.where(fold != 0)
+    if train.count() <= BROADCAST_LABELS:  # else both sides are shuffled, whole texts too
+        train = F.broadcast(train)
+    counted = materialize(text.join(train, "doc_id").select("text", "y"), "training")
     if len(counted.select("y").distinct().collect()) < 2:
         return nothing
     shared = spark.sparkContext.broadcast(count(counted))
