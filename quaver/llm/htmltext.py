@@ -36,7 +36,7 @@ from quaver.session import ship
 PATH_DIM, WORD_DIM, HIDDEN = 48, 16, 20
 DIM = PATH_DIM + WORD_DIM + 3
 DECAY = 0.85
-TRAIN_PAGES, EPOCHS, BATCH, RATE, SEED = 1500, 5, 50, 0.01, 5
+TRAIN_PAGES, EPOCHS, BATCH, RATE, SEED = 2500, 10, 50, 0.01, 5
 #: Blocks of pages that are labelled at once.
 BLOCKS_AT_ONCE = 6000
 
