@@ -18,7 +18,6 @@ never remove words of each other; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from itertools import compress, pairwise
 
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaver.llm.textvec import Words, mix, rolled, slices, text_bytes
-from quaver.session import remove_path, scratch_path, ship
+from quaver.session import arrow_rows, release_shuffles, remove_path, scratch_path, ship
 
 WIDTH = 13
 #: Runs that are merged into one.
@@ -39,7 +38,14 @@ FANOUT = 3
 #: Parts of the doc_id range that query() ingests one after the other.
 BATCHES = 4
 #: Input bytes (as Spark estimates them) that one shard serves, and the bounds of their number.
-SHARD_BYTES, LEAST_SHARDS, MOST_SHARDS = 16 << 20, 32, 8192
+SHARD_BYTES, LEAST_SHARDS, MOST_SHARDS = 6 << 20, 32, 8192
+
+#: Fingerprints in one row of a run, documents in one Arrow batch, and text bytes hashed at once:
+#: small, so that an executor never holds a whole run's shard in several copies.
+PIECE, ARROW_ROWS = 1 << 14, 1000
+SLICE = 1 << 20
+#: The blobs are packed already: no dictionaries, no second compression, small row groups.
+WRITE = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(4 << 20)}
 
 DEALT = "shard int, docs binary, hashes binary, places binary"
 FOUND = "kind int, doc_id long, mark long, shard int, blob binary"
@@ -66,7 +72,7 @@ def _deal(shards: int, width: int):
     """Windows of a slice of documents by shard: (doc_id, mark, count) rows, fingerprints and word positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             data, offsets = text_bytes(batch.column("text"))
             words = Words(data, offsets)
             at = words.windows(width)
@@ -100,7 +106,7 @@ def _blobs(column: pa.ChunkedArray) -> list[bytes]:
 
 
 def _run_rows(shard: int, h: np.ndarray) -> pa.Table:
-    blobs = [pack(h)] if len(h) else []
+    blobs = [pack(h[a : a + PIECE]) for a in range(0, len(h), PIECE)]
     n = len(blobs)
     return pa.table({"kind": pa.array([1] * n, pa.int32()), "doc_id": pa.nulls(n, pa.int64()), "mark": pa.nulls(n, pa.int64()), "shard": pa.array([shard] * n, pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
@@ -124,8 +130,11 @@ def _merge(new: pa.Table, runs: pa.Table) -> pa.Table:
     old = np.zeros(len(known), bool)
     for blob in _blobs(runs.column("blob")):
         run = unpack(blob, np.uint64)
-        old |= run[np.minimum(np.searchsorted(run, known), len(run) - 1)] == known
+        a, b = np.searchsorted(known, run[[0, -1]])
+        near = known[a : b + 1]
+        old[a : b + 1] |= run[np.minimum(np.searchsorted(run, near), len(run) - 1)] == near
     which = np.cumsum(fresh) - 1
+    del sorted_h, fresh
     hit = np.empty(len(h), bool)
     hit[order] = old[which] | (doc[order] > doc[order][starts][which])
     at = np.flatnonzero(hit)
@@ -182,31 +191,41 @@ class SubstringIndex:
 
     def ingest(self, docs: DataFrame) -> DataFrame:
         """(doc_id, mark, blob): starts of the windows of docs that an earlier document has; adds a run."""
-        rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        new = rows.mapInArrow(_deal(self.shards, self.width), DEALT)
-        past = self.spark.createDataFrame([], "shard int, blob binary")
-        for run in self.runs:
-            past = past.union(run)
-        merged = new.groupBy("shard").cogroup(past.groupBy("shard")).applyInArrow(_merge, FOUND)
         path = scratch_path(self.spark, "windows")
-        merged.write.partitionBy("kind").parquet(path)
+        with arrow_rows(self.spark, ARROW_ROWS):
+            self._merged(docs).write.partitionBy("kind").options(**WRITE).parquet(path)
         out = self.spark.read.schema(FOUND).parquet(path)
         self.runs.append(out.where("kind = 1").select("shard", "blob"))
         self.paths.append(f"{path}/kind=1")
+        release_shuffles(self.spark)
         if len(self.runs) >= self.fanout:
             self.compact()
         return out.where("kind = 0").select("doc_id", "mark", "blob")
 
+    def _past(self) -> DataFrame:
+        past = self.spark.createDataFrame([], "shard int, blob binary")
+        for run in self.runs:
+            past = past.union(run)
+        return past
+
+    def _merged(self, docs: DataFrame) -> DataFrame:
+        rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        new = rows.mapInArrow(_deal(self.shards, self.width), DEALT)
+        return new.groupBy("shard").cogroup(self._past().groupBy("shard")).applyInArrow(_merge, FOUND)
+
     def compact(self) -> None:
         """Merge all runs into one and remove them."""
-        past = self.runs[0]
-        for run in self.runs[1:]:
-            past = past.union(run)
         path = scratch_path(self.spark, "run")
-        past.groupBy("shard").applyInArrow(_compact, FOUND).select("shard", "blob").write.parquet(path)
+        self._past().groupBy("shard").applyInArrow(_compact, FOUND).select("shard", "blob").write.options(**WRITE).parquet(path)
+        self.drop()
+        release_shuffles(self.spark)
+        self.runs, self.paths = [self.spark.read.schema("shard int, blob binary").parquet(path)], [path]
+
+    def drop(self) -> None:
+        """Remove the runs; what ingest() returned stays."""
         for old in self.paths:
             remove_path(self.spark, old)
-        self.runs, self.paths = [self.spark.read.schema("shard int, blob binary").parquet(path)], [path]
+        self.runs, self.paths = [], []
 
     def remove(self, docs: DataFrame, hits: DataFrame) -> DataFrame:
         """The other columns of docs with kept_text, n_words and n_removed; kept words are joined by one space."""
@@ -219,7 +238,7 @@ class SubstringIndex:
 
 
 def dedup_substrings(docs: DataFrame, batches: int = BATCHES, width: int = WIDTH, shards: int | None = None) -> DataFrame:
-    """All of docs, ingested in `batches` parts of the doc_id range: see SubstringIndex.remove."""
+    """All of docs, ingested in `batches` parts of the doc_id range by an index that goes afterwards: see SubstringIndex.remove."""
     spark = docs.sparkSession
     if shards is None:
         size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
@@ -236,9 +255,7 @@ def dedup_substrings(docs: DataFrame, batches: int = BATCHES, width: int = WIDTH
             part = part.where(F.col("doc_id") <= high)
         found = index.ingest(part)
         hits = found if hits is None else hits.union(found)
-        # the shuffle files of this batch go when the driver notices that nobody holds them
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+    index.drop()
     return index.remove(docs, hits)
 
 
