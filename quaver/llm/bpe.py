@@ -38,9 +38,9 @@ from quaver.session import ship
 
 LONG = 96
 #: Text bytes whose new pieces share one recursive query.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 #: Distinct pieces that a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 CONTRACT = """
 with recursive state(word, toks, done) as (
@@ -137,7 +137,7 @@ class Codec:
         self.ranks = vocabulary.ranks
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.split = regex.compile(vocabulary.pattern).findall
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         self._load("merges", vocabulary.merges())
         self._load("vocab", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]}))
         self.forget()
