@@ -27,7 +27,7 @@ from quaver.llm.textvec import SPACE, Words, mix, rolled, slices, text_bytes
 from quaver.session import ship
 
 #: The documented bound of the training sample.
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 KEEP_AT = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 BITS = 16
@@ -171,14 +171,21 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         return blank
     slot = np.concatenate([np.frombuffer(r[2], np.int32) for r in got])
     value = np.concatenate([np.frombuffer(r[3], np.float32) for r in got])
-    row = np.repeat(np.arange(len(got)), [len(r[2]) // 4 for r in got])
+    counts = np.array([len(r[2]) // 4 for r in got])
+    row = np.repeat(np.arange(len(got), dtype=np.int32), counts)
+    del got
+    starts = np.append(0, np.cumsum(counts)[:-1])
     w, seen, bias, seen_bias = np.zeros(4 * SIZE), np.full(4 * SIZE, 1e-12), 0.0, 1e-12
     weight = np.where(y == 1, 0.5 / (y[~held] == 1).sum(), 0.5 / (y[~held] == 0).sum())
     weight[held] = 0
-    score = lambda: np.bincount(row, w[slot] * value, len(y)) + bias
+
+    def score() -> np.ndarray:
+        sums = np.add.reduceat(np.append(w.astype(np.float32)[slot] * value, np.float32(0)), starts).astype(np.float64)
+        return np.where(counts > 0, sums, 0.0) + bias
+
     for _ in range(STEPS):
         gap = weight * (1 / (1 + np.exp(-np.clip(score(), -50, 50))) - y)
-        grad = np.bincount(slot, gap[row] * value, 4 * SIZE) + L2 * w / (4 * SIZE)
+        grad = np.bincount(slot, gap.astype(np.float32)[row] * value, 4 * SIZE) + L2 * w / (4 * SIZE)
         seen += grad * grad
         w -= RATE * grad / np.sqrt(seen)
         seen_bias += gap.sum() ** 2
