@@ -54,6 +54,53 @@ def test_ngram_keys():
     assert word.tolist() == [0] * 3 + [1] * 7
 
 
+def test_counts_are_exact_and_grow(spark):
+    rows = [(t, y) for seed in range(6) for t, y in invented(seed, 120)]
+    counts = toxicity.count(spark.createDataFrame(rows, "text string, y int"))
+    plain = ({}, {})
+    for text, y in rows:
+        for word in text.encode().replace(b",", b" ").replace(b".", b" ").split():
+            symbols = b"\1" + word + b"\2"
+            for k in range(1, len(symbols)):
+                gram = symbols[max(0, k - 7) : k + 1]
+                plain[y][gram] = plain[y].get(gram, 0) + 1
+    grams = sorted(set(plain[0]) | set(plain[1]))
+    four, four_context, two = {}, {}, {}
+    for key in {int.from_bytes(g, "big") for g in grams}:
+        four[key & 0xFFFFFFFF] = four.get(key & 0xFFFFFFFF, 0) + 1
+    for key, n in four.items():
+        four_context.setdefault(key >> 8, []).append(n)
+        two[key & 0xFFFF] = two.get(key & 0xFFFF, 0) + 1
+    context = [{}, {}]
+    for c in (0, 1):
+        for gram, n in plain[c].items():
+            context[c].setdefault(int.from_bytes(gram, "big") >> 8, []).append(n)
+
+    def log_p(key, c):
+        after = [n for k, n in two.items() if k >> 8 == key >> 8 & 0xFF]
+        p = (max(two.get(key & 0xFFFF, 0) - 0.75, 0) + 0.75 * len(after) / 256) / sum(after) if after else 1 / 256
+        seen = four_context.get(key >> 8 & 0xFFFFFF, [])
+        p = (max(four.get(key & 0xFFFFFFFF, 0) - 0.75, 0) + 0.75 * len(seen) * p) / sum(seen) if seen else p
+        held = context[c].get(key >> 8, [])
+        n = plain[c].get(key.to_bytes(8, "big").lstrip(b"\0"), 0)
+        return np.log((max(n - 0.75, 0) + (0.75 * len(held) + 30) * max(p, 1e-9)) / (sum(held) + 30))
+
+    ask = [int.from_bytes(g, "big") for g in grams]
+    got = counts.difference(np.array(ask, np.uint64))
+    assert len(ask) > 8000 and np.allclose(got, [log_p(k, 1) - log_p(k, 0) for k in ask], rtol=1e-4, atol=1e-5)
+
+
+def test_toxicity_beyond_the_broadcast(spark, make):
+    rows = invented(1, 200)
+    docs = make([t for t, _ in rows] + ODD + [rows[0][0]], ids=[*range(200 + len(ODD)), None])
+    labels = spark.createDataFrame([(k, 1, y) for k, (_, y) in enumerate(rows)], LABELS)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0)
+    want = sorted(toxicity.score(docs, labels).collect(), key=key)
+    got = sorted(toxicity.score(docs, labels, limit=0, common_words=50).collect(), key=key)
+    assert [(r.doc_id, r.held_out) for r in got] == [(r.doc_id, r.held_out) for r in want]
+    assert np.allclose([r.score for r in got], [r.score for r in want], rtol=1e-4, atol=1e-6)
+
+
 def plain_forward(word, pieces, p):
     """Sum over all segmentations, one by one."""
     if not word:
