@@ -12,8 +12,8 @@ distinct n-grams. Up to BROADCAST_KEYS rows of them are broadcast as sorted arra
 tables stay where they are: the distinct words of the texts are spelled out and joined with them,
 the values of the COMMON_WORDS most frequent words are broadcast, and only the other words of
 a text are joined with their values. Training rows are labelled rows whose crc32(doc_id as text) % 5
-is not 0; every third of these only calibrates, and these are at most CALIBRATION_ROWS (the
-smallest hashes of doc_id).
+is not 0. Of every third of these at most CALIBRATION_ROWS (the smallest hashes of doc_id) only
+calibrate; all others are counted.
 
 Edge cases: a null or empty text has no words and scores like a text of length zero; null labels
 and labels without a document are ignored; without training rows of both classes every score
@@ -343,7 +343,9 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = BROADCAST_KEYS, common_
     y = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(3))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    train = y.where(fold != 0)
+    chosen = y.where(fold == 0).orderBy(F.xxhash64("doc_id", F.lit(12)), "doc_id", "y").limit(CALIBRATION_ROWS).collect()
+    picked = F.broadcast(spark.createDataFrame([tuple(r) for r in chosen], "doc_id long, y long"))
+    train = y.join(picked, "doc_id", "left_anti")
     if train.count() <= BROADCAST_LABELS:  # else both sides are shuffled, whole texts too
         train = F.broadcast(train)
     counted = materialize(text.join(train, "doc_id").select("text", "y"), "training")
@@ -352,8 +354,6 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = BROADCAST_KEYS, common_
     counts = count(counted, limit)
     tables = counts if isinstance(counts, Tables) else None
     shared = None if tables else spark.sparkContext.broadcast(counts)
-    chosen = y.where(fold == 0).orderBy(F.xxhash64("doc_id", F.lit(12)), "doc_id", "y").limit(CALIBRATION_ROWS).collect()
-    picked = F.broadcast(spark.createDataFrame([tuple(r) for r in chosen], "doc_id long, y long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -90,6 +90,16 @@ def test_counts_are_exact_and_grow(spark):
     assert len(ask) > 8000 and np.allclose(got, [log_p(k, 1) - log_p(k, 0) for k in ask], rtol=1e-4, atol=1e-5)
 
 
+def test_all_rows_but_the_calibrating_ones_are_counted(spark, make, monkeypatch):
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 40)
+    rows, seen = invented(1, 300), []
+    count = toxicity.count
+    monkeypatch.setattr(toxicity, "count", lambda labelled, *rest: (seen.append(labelled.count()), count(labelled, *rest))[1])
+    labels = spark.createDataFrame([(k, 1, y) for k, (_, y) in enumerate(rows)], LABELS)
+    toxicity.fit(make([t for t, _ in rows]), labels)
+    assert seen == [sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(300)) - 40]
+
+
 def test_toxicity_beyond_the_broadcast(spark, make):
     rows = invented(1, 200)
     docs = make([t for t, _ in rows] + ODD + [rows[0][0]], ids=[*range(200 + len(ODD)), None])
