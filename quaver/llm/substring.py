@@ -1,15 +1,17 @@
 """Substring dedup over a log-structured index of window fingerprints.
 
-Every WIDTH consecutive words of a document are a window with a 64-bit fingerprint. The index
-is a list of immutable runs; a run holds, per shard, the sorted fingerprints of past batches.
+Every WIDTH consecutive words of a document are a window with a 64-bit fingerprint and 16 check bits
+of an independent hash. The index is a list of immutable runs; a run holds, per shard, the sorted
+fingerprints of past batches with their check bits.
 ingest() deals the windows of a new batch to shards, sorts them, merge-joins them with every run
 and with the batch itself (a window also counts if a smaller doc_id of the same batch has it),
 writes the fingerprints that are new as the next run, and compacts the runs into one when there
 are FANOUT of them. Batches must come in ascending doc_id order.
 
-A fingerprint is looked up by all of its 64 bits; those that choose the shard come from another
-mix, which verifies about log2(shards) bits more. Texts are never compared, so a false match
-has a chance of about N / 2**69 per window in an index of N windows.
+A fingerprint is looked up by all of its 64 bits, and what it meets is verified by the check bits,
+which come from other word hashes of another construction. The shard follows from the fingerprint
+and verifies nothing. Texts are never compared, so a false match has a chance of about N / 2**80 per
+window in an index of N windows.
 
 Edge cases: a null or empty text has no words; texts under WIDTH words keep all of them; rows
 with a null doc_id cannot be ordered: they are kept whole and not indexed; rows of equal doc_id
@@ -47,7 +49,7 @@ SLICE = 1 << 20
 #: The blobs are packed already: no dictionaries, no second compression, small row groups.
 WRITE = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(4 << 20)}
 
-DEALT = "shard int, docs binary, hashes binary, places binary"
+DEALT = "shard int, docs binary, hashes binary, checks binary, places binary"
 FOUND = "kind int, doc_id long, mark long, shard int, blob binary"
 
 
@@ -64,6 +66,27 @@ def unpack(blob: bytes, kind: type) -> np.ndarray:
     return np.cumsum(step, dtype=kind)
 
 
+def pack_run(h: np.ndarray, check: np.ndarray) -> bytes:
+    """Check bits, two bytes each after their number, and the sorted fingerprints."""
+    return len(h).to_bytes(4, "little") + check.tobytes() + pack(h)
+
+
+def unpack_run(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(blob[:4], "little")
+    return unpack(blob[4 + 2 * n :], np.uint64), np.frombuffer(blob, np.uint16, n, 4)
+
+
+def checks(words: Words, width: int) -> np.ndarray:
+    """Check bits of each run of `width` words: sums of mixed (byte, place in the word) pairs, no polynomial of the bytes."""
+    size = words.end - words.start
+    ends = np.cumsum(size)
+    place = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
+    data = words.data[np.repeat(words.start, size) + place]
+    sums = np.append(np.uint64(0), np.cumsum(mix(data + (place.astype(np.uint64) << np.uint64(8)) + np.uint64(0x3C79AC492BA7B653)), dtype=np.uint64))
+    h = mix(sums[ends] - sums[ends - size] + size.astype(np.uint64) * np.uint64(0x1C69B3F74AC4AE35))
+    return (rolled(h, width, 0x9FB21C651E98DF25) >> np.uint64(48)).astype(np.uint16)
+
+
 def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
     return (mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(shards)).astype(np.uint16)
 
@@ -81,13 +104,13 @@ def _deal(shards: int, width: int):
             raw = data.tobytes()
             marks = np.array([xxhash.xxh64_intdigest(raw[a:b], 42) for a, b in pairwise(offsets.tolist())], np.uint64).view(np.int64)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            h = rolled(words.hashes(), width)[at]
+            h, check = rolled(words.hashes(), width)[at], checks(words, width)[at]
             doc = words.doc[at]
             place = (at - words.first[doc]).astype(np.uint32)
             shard = shard_of(h, shards)
             order = np.argsort(shard, kind="stable")
             bounds = np.searchsorted(shard[order], np.arange(shards + 1))
-            rows: list[tuple[int, bytes, bytes, bytes]] = []
+            rows: list[tuple[int, bytes, bytes, bytes, bytes]] = []
             for s, (a, b) in enumerate(pairwise(bounds.tolist())):
                 if b == a:
                     continue
@@ -95,8 +118,8 @@ def _deal(shards: int, width: int):
                 starts = np.flatnonzero(np.append(True, np.diff(doc[own]) != 0))
                 some = doc[own][starts]
                 head = np.column_stack([ids[some], marks[some], np.diff(np.append(starts, b - a))]).astype(np.int64)
-                rows.append((s, zstandard.compress(head.tobytes(), 1), h[own].tobytes(), pack(place[own])))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["shard", "docs", "hashes", "places"])
+                rows.append((s, zstandard.compress(head.tobytes(), 1), h[own].tobytes(), check[own].tobytes(), pack(place[own])))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["shard", "docs", "hashes", "checks", "places"])
 
     return run
 
@@ -105,40 +128,55 @@ def _blobs(column: pa.ChunkedArray) -> list[bytes]:
     return [x.as_buffer().to_pybytes() for x in column]
 
 
-def _run_rows(shard: int, h: np.ndarray) -> pa.Table:
-    blobs = [pack(h[a : a + PIECE]) for a in range(0, len(h), PIECE)]
+def _run_rows(shard: int, h: np.ndarray, check: np.ndarray) -> pa.Table:
+    blobs = [pack_run(h[a : a + PIECE], check[a : a + PIECE]) for a in range(0, len(h), PIECE)]
     n = len(blobs)
     return pa.table({"kind": pa.array([1] * n, pa.int32()), "doc_id": pa.nulls(n, pa.int64()), "mark": pa.nulls(n, pa.int64()), "shard": pa.array([shard] * n, pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
 
+def _held(known: np.ndarray, check: np.ndarray, run: np.ndarray, run_check: np.ndarray) -> np.ndarray:
+    """Which (fingerprint, check bits) the run has; equal fingerprints may differ in the check bits."""
+    out = np.zeros(len(known), bool)
+    ask, at = np.arange(len(known)), np.searchsorted(run, known)
+    while len(ask):
+        inside = at < len(run)
+        ask, at = ask[inside], at[inside]
+        same = run[at] == known[ask]
+        ask, at = ask[same], at[same]
+        right = run_check[at] == check[ask]
+        out[ask[right]] = True
+        ask, at = ask[~right], at[~right] + 1
+    return out
+
+
 def _merge(new: pa.Table, runs: pa.Table) -> pa.Table:
     """One shard: the words that earlier windows cover (kind 0) and the fingerprints that are new (kind 1)."""
     if not new.num_rows:
-        return _run_rows(0, np.zeros(0, np.uint64))
+        return _run_rows(0, np.zeros(0, np.uint64), np.zeros(0, np.uint16))
     shard = new.column("shard")[0].as_py()
     heads = [np.frombuffer(zstandard.decompress(x), np.int64).reshape(-1, 3) for x in _blobs(new.column("docs"))]
     h = np.concatenate([np.frombuffer(x, np.uint64) for x in _blobs(new.column("hashes"))])
+    check = np.concatenate([np.frombuffer(x, np.uint16) for x in _blobs(new.column("checks"))])
     place = np.concatenate([unpack(x, np.uint32) for x in _blobs(new.column("places"))])
     head = np.concatenate(heads)
     group = np.repeat(np.arange(len(head)), head[:, 2])
     doc = head[:, 0][group]
-    order = np.lexsort((doc, h))
-    sorted_h = h[order]
-    fresh = np.append(True, sorted_h[1:] != sorted_h[:-1])
+    order = np.lexsort((doc, check, h))
+    sorted_h, sorted_check = h[order], check[order]
+    fresh = np.append(True, (sorted_h[1:] != sorted_h[:-1]) | (sorted_check[1:] != sorted_check[:-1]))
     starts = np.flatnonzero(fresh)
-    known = sorted_h[starts]
+    known, known_check = sorted_h[starts], sorted_check[starts]
     old = np.zeros(len(known), bool)
     for blob in _blobs(runs.column("blob")):
-        run = unpack(blob, np.uint64)
-        a, b = np.searchsorted(known, run[[0, -1]])
-        near = known[a : b + 1]
-        old[a : b + 1] |= run[np.minimum(np.searchsorted(run, near), len(run) - 1)] == near
+        run, run_check = unpack_run(blob)
+        a, b = np.searchsorted(known, run[0]), np.searchsorted(known, run[-1], "right")
+        old[a:b] |= _held(known[a:b], known_check[a:b], run, run_check)
     which = np.cumsum(fresh) - 1
-    del sorted_h, fresh
+    del sorted_h, sorted_check, fresh
     hit = np.empty(len(h), bool)
     hit[order] = old[which] | (doc[order] > doc[order][starts][which])
     at = np.flatnonzero(hit)
-    out = [_run_rows(shard, known[~old])]
+    out = [_run_rows(shard, known[~old], known_check[~old])]
     if len(at):
         cuts = np.flatnonzero(np.append(True, np.diff(group[at]) != 0))
         some = group[at][cuts]
@@ -150,7 +188,9 @@ def _merge(new: pa.Table, runs: pa.Table) -> pa.Table:
 
 
 def _compact(runs: pa.Table) -> pa.Table:
-    return _run_rows(runs.column("shard")[0].as_py(), np.sort(np.concatenate([unpack(x, np.uint64) for x in _blobs(runs.column("blob"))])))
+    h, check = map(np.concatenate, zip(*map(unpack_run, _blobs(runs.column("blob"))), strict=True))
+    order = np.argsort(h, kind="stable")
+    return _run_rows(runs.column("shard")[0].as_py(), h[order], check[order])
 
 
 def _covered(starts: np.ndarray, n_words: int, width: int) -> np.ndarray:

@@ -5,9 +5,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from quaver.llm import linededup, substring
+from quaver.llm.textvec import Words
 from samples import ODD
 
 
@@ -67,6 +70,29 @@ def test_packing():
     assert (substring.unpack(substring.pack(x), np.uint64) == x).all()
 
 
+def merged(rows, runs=None):
+    """What one shard finds among rows, and its run."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    out = substring._merge(pa.Table.from_batches(substring._deal(1, 13)(iter([batch]))), runs or pa.table({"blob": pa.array([], pa.binary())}))
+    return sorted({r["doc_id"] for r in out.to_pylist() if r["kind"] == 0}), out.filter(pc.equal(out.column("kind"), 1))
+
+
+def test_equal_fingerprints_are_verified(monkeypatch):
+    monkeypatch.setattr(Words, "hashes", lambda self: np.zeros(len(self.start), np.uint64))  # every window has the same fingerprint
+    a, b, c = (" ".join(f"{x}{k}" for k in range(13)) for x in "abc")
+    found, run = merged([(1, a), (2, b), (3, a)])
+    assert found == [3]
+    assert merged([(4, c), (5, b), (6, a)], run)[0] == [5, 6]
+    both = pa.concat_tables([run, merged([(4, c)], run)[1]])
+    assert merged([(7, c), (8, "d " * 13), (9, a)], substring._compact(both))[0] == [7, 9]
+
+
+def test_run_packing():
+    h = np.unique(np.random.default_rng(2).integers(0, 2**64 - 1, 500, np.uint64))
+    check = np.arange(len(h)).astype(np.uint16)
+    assert all((x == y).all() for x, y in zip(substring.unpack_run(substring.pack_run(h, check)), (h, check), strict=True))
+
+
 def lines_of(seed, n=40):
     rng = random.Random(seed)
     common = ["All rights reserved", "MENU", "a|b", "é line", " x "]
