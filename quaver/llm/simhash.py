@@ -59,16 +59,20 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big", signed=True)
 
 
+def text_mark():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) for every row."""
+    """(doc_id, mark, fp) for every row; the mark tells texts of one doc_id apart."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fp = [fingerprint(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(fp, pa.int64())], names=["doc_id", "mark", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_mark().alias("mark")).mapInArrow(run, "doc_id long, mark long, fp long")
 
 
 def _signed(x: int) -> int:
@@ -193,26 +197,36 @@ def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, crowd: int
     return out.distinct()
 
 
-def components(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, crowd: int = CROWD) -> DataFrame:
-    """(doc_id, fp, component_id) for every row."""
+def grouped_rows(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, crowd: int = CROWD) -> DataFrame:
+    """(doc_id, mark, fp, root, component_id) for every row; the root, a fingerprint, tells components of one component_id apart."""
     rows = materialize(fingerprints(docs), "fingerprints")
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = materialize(connected_components(links(fps.select("fp"), radius, blocks, crowd)).select(F.col("id").alias("fp"), "root"), "roots")
     least = materialize(roots.join(fps, "fp").groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    grouped = roots.join(least, "root").select("fp", "component_id")
-    named = materialize(fps.join(grouped, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "named")
+    grouped = roots.join(least, "root").select("fp", "root", "component_id")
+    named = materialize(fps.join(grouped, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first").alias("component_id")), "named")
     for old in (fps, roots, least):
         discard(old)
-    return rows.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    return rows.join(named, "fp", "left").select("doc_id", "mark", "fp", "root", "component_id")
+
+
+def components(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, fp, component_id) for every row."""
+    return grouped_rows(docs, **options).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """One document of each component, the one of the smallest doc_id; rows without doc_id stay.
 
-    Repeated rows of the kept doc_id leave one of them. The columns of docs are returned.
+    Rows that share a doc_id are told apart by their texts: those of different components may all
+    stay, and of a component that has several texts of its smallest doc_id one stays. Repeated
+    rows of the kept document leave one of them. The columns of docs are returned.
     """
-    kept = components(docs, **options).where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = F.min(F.struct("fp", "mark"))["mark"].alias("kept_mark")
+    kept = grouped_rows(docs, **options).where("doc_id = component_id").groupBy("root", F.col("doc_id").alias("kept_id")).agg(first)
+    marked = docs.where("doc_id is not null").withColumn("quaver_text_mark", text_mark())
+    same = (F.col("doc_id").cast("long") == F.col("kept_id")) & (F.col("quaver_text_mark") == F.col("kept_mark"))
+    with_id = marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "quaver_text_mark"])
     return with_id.select(*docs.columns).union(docs.where("doc_id is null"))
 
 

@@ -89,5 +89,18 @@ def test_components_of_documents(make):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({c for i, c in got.items() if i is not None})
 
 
+def test_one_row_of_each_component_stays(make):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(400)) for x in "abc")
+    for rows, want in (
+        ([(3, a), (5, a), (5, b)], [(3, a), (5, b)]),
+        ([(5, b), (5, a), (3, a), (5, b)], [(3, a), (5, b)]),
+        ([(5, a), (5, b), (7, a), (7, c)], [(5, a), (5, b), (7, c)]),
+        ([(4, a), (4, a.upper()), (6, a)], 1),
+    ):
+        kept = simhash.keep_one(make([t for _, t in rows], ids=[i for i, _ in rows]))
+        got = sorted((r.doc_id, r.text) for r in kept.collect())
+        assert got == want if want != 1 else len(got) == 1 and got[0][0] == 4
+
+
 def test_empty(make):
     assert simhash.query(make(["x"]).where("false")).count() == 0
