@@ -1,8 +1,8 @@
 """Language identification by unigram pieces, marginalised over all segmentations.
 
-The pieces are those of a public sentencepiece vocabulary (its path is a parameter) of up to
-MOST_BYTES bytes; single bytes without a piece use the vocabulary's byte pieces, so that every word has a
-segmentation. A word is a space, then its bytes. Each language has piece probabilities, and the
+The pieces are all of a public sentencepiece vocabulary (its path is a parameter); single bytes
+without a piece use the vocabulary's byte pieces, so that every word has a segmentation. A word is
+a space, then its bytes. Each language has piece probabilities, and the
 forward algorithm sums the probabilities of all segmentations of a word; a text's likelihood is
 the product over its words, and the score is the posterior under a uniform prior.
 
@@ -33,7 +33,6 @@ from quaver.session import materialize, ship
 FOLDS = 3
 TRAIN_ROWS = 2000
 ROUNDS = 3
-MOST_BYTES = 16
 #: Added to every expected piece count.
 SMOOTH = 0.05
 #: Words whose lattices are held at once.
@@ -63,7 +62,7 @@ class Pieces:
         for i in range(model.get_piece_size()):
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i)):
                 found.add(model.id_to_piece(i).replace("▁", " ").encode())
-        pieces = sorted(p for p in found if 0 < len(p) <= MOST_BYTES)
+        pieces = sorted(p for p in found if p)
         data = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum([len(p) for p in pieces])
         starts = np.append(0, ends[:-1])

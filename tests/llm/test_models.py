@@ -142,6 +142,15 @@ def test_forward_sums_all_segmentations():
     assert np.isclose(spelled, sum(len(w) + 1 for w in words))
 
 
+def test_every_piece_is_kept():
+    import public_tokenizers
+
+    pieces = langid.Pieces.read(public_tokenizers.path("piece_bpe_32k.model"))
+    word = " населения".encode()
+    lattice = langid.Lattice(np.frombuffer(word[1:], np.uint8), np.array([0, len(word) - 1]), pieces)
+    assert pieces.size - 256 == 31741 and pieces.longest >= len(word) and lattice.arc[0, len(word) - 1] >= 256
+
+
 def test_language(make):
     rng = random.Random(3)
     vocabulary = {"en": "the of and house water light never under small which".split(), "de": "der die und haus wasser nicht unter klein welche über".split(), "fr": "le la et maison eau lumière jamais sous petite très".split()}
