@@ -46,12 +46,23 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with underscores after it until no column has it (Spark's names ignore case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is set."""
+    """The folder that driver and executors share. A single process makes one of its own where none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="quaver-scratch-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
