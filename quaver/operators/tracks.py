@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,117 +56,100 @@ def strip_realtime(events: DataFrame) -> DataFrame:
     return ended.select(*TRACK, "seq", "delta", "kind", *names).unionByName(tail)
 
 
-class Flattener:
-    """One track's pedal state: note-offs wait while a pedal holds them.
+def _paired(rows: DataFrame) -> DataFrame:
+    """on_seq: the beginning that a release ends, null for a stray one; zero: beginning and end at one tick.
 
-    Sustain (CC64) holds every release; sostenuto (CC66) holds the notes that were down when it was
-    pressed; CC121 lifts both; CC67 is dropped. Of equal notes the last begun is released first,
-    and a note that ends at the tick it began disappears with its beginning.
+    Of equal notes the last begun ends first. A release is stray where fewer notes were begun than
+    ended: there the running sum of beginnings less releases has a new minimum below zero. All
+    others stand, like their beginnings, at a height over that minimum, where they take turns.
     """
+    off = F.col("kind").isin("note_on", "note_off") & ~F.col("is_on")
+    key = W.partitionBy(*TRACK, "channel", "data1").orderBy("seq")
+    rows = rows.withColumn("is_off", off).withColumn("sum", F.sum(F.when(F.col("is_on"), 1).when(F.col("is_off"), -1).otherwise(0)).over(key))
+    floor = F.least(F.lit(0), F.min("sum").over(key.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    before = F.least(F.lit(0), F.coalesce(F.min("sum").over(key.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    rows = rows.withColumn("stray", F.col("is_off") & (F.col("sum") < before)).withColumn("height", F.col("sum") - floor + F.col("is_off").cast("int"))
+    turn = W.partitionBy(*TRACK, "channel", "data1", F.when(F.col("is_on") | (F.col("is_off") & ~F.col("stray")), F.col("height"))).orderBy("seq")
+    ends = F.col("is_off") & ~F.col("stray")
+    return rows.withColumns(
+        {
+            "on_seq": F.when(ends, F.lag("seq").over(turn)),
+            "zero": F.coalesce(F.when(ends, F.lag("tick").over(turn)).when(F.col("is_on"), F.lead("tick").over(turn)) == F.col("tick"), F.lit(False)),
+        }
+    )
+
 
-    def __init__(self) -> None:
-        self.out: list[tuple | None] = []
-        self.down: dict[tuple[int, int], list[dict]] = {}
-        self.waiting: list[dict] = []
-        self.pedals: dict[str, dict[int, bool]] = {"sustain": {}, "sostenuto": {}}
-        self.counts = dict.fromkeys(COUNTERS, 0)
-
-    def held(self, channel: int, note: dict) -> bool:
-        return self.pedals["sustain"].get(channel, False) or (note["latched"] and self.pedals["sostenuto"].get(channel, False))
-
-    def release(self, channel: int, tick: int) -> None:
-        """Emit what no pedal of the channel holds any more."""
-        still = []
-        for note in self.waiting:
-            if note["channel"] == channel and not self.held(channel, note):
-                self.out.append((tick, note["off"]))
-            else:
-                still.append(note)
-        self.waiting = still
-
-    def unlatch(self, channel: int, sounding: bool) -> None:
-        for note in [*self.waiting, *(n for notes in self.down.values() for n in notes if sounding)]:
-            if note["channel"] == channel:
-                note["latched"] = False
-
-    def control(self, tick: int, channel: int, number: int, value: int) -> None:
-        if number == 67:
-            self.counts["cc67_discarded"] += 1
-            return
-        if number == 121:
-            self.counts["cc121_resets_consumed"] += 1
-            self.pedals["sustain"][channel] = self.pedals["sostenuto"][channel] = False
-            self.unlatch(channel, sounding=True)
-            self.release(channel, tick)
-            return
-        self.counts[f"cc{number}_rendered"] += 1
-        pedal = self.pedals["sustain" if number == 64 else "sostenuto"]
-        before, pedal[channel] = pedal.get(channel, False), value >= 64
-        if number == 66 and pedal[channel] and not before:
-            for notes in self.down.values():
-                for note in notes:
-                    note["latched"] |= note["channel"] == channel
-        if before and not pedal[channel]:
-            if number == 66:
-                self.unlatch(channel, sounding=False)
-            self.release(channel, tick)
-
-    def feed(self, tick: int, event: dict) -> None:
-        kind, channel = event["kind"], event["channel"]
-        if kind == "realtime":
-            self.counts["realtime_discarded"] += 1
-        elif kind == "control_change" and event["data1"] in (64, 66, 67, 121):
-            self.control(tick, channel, event["data1"], event["data2"])
-        elif kind == "note_on" and event["data2"] > 0:
-            self.down.setdefault((channel, event["data1"]), []).append({"channel": channel, "at": len(self.out), "tick": tick, "latched": False})
-            self.out.append((tick, event))
-        elif kind in ("note_on", "note_off") and self.down.get((channel, event["data1"])):
-            note = self.down[channel, event["data1"]].pop()
-            note["off"] = event
-            if note["tick"] == tick:
-                self.out[note["at"]] = None
-                self.counts["zero_duration_dropped"] += 1
-            elif self.held(channel, note):
-                self.waiting.append(note)
-            else:
-                self.out.append((tick, event))
-        else:
-            self.out.append((tick, event))
-
-    def finish(self, last: int) -> list[tuple]:
-        for note in self.waiting:
-            self.out.append((last, note["off"]))
-            self.counts["end_of_track_noteoffs"] += 1
-        self.waiting = []
-        return sorted((x for x in self.out if x is not None), key=lambda x: x[0])
+def _let_go(rows: DataFrame) -> DataFrame:
+    """(end_seq, end_tick): the event at which a paired release is let go, both null if none does.
+
+    A release is held while the sustain pedal is down, or while the sostenuto pedal is down and has caught the
+    note: it was pressed while the key was, and was neither lifted nor reset (by controller 121)
+    since the release. So it goes at the first event from its own on at which sustain is up, unless
+    sostenuto holds it there: then at the first such event from the next lift of sostenuto on.
+    """
+    number = F.when(F.col("kind") == "control_change", F.col("data1"))
+    down = F.col("data2") >= 64
+    reset = number == 121
+    channel = W.partitionBy(*TRACK, "channel").orderBy("seq")
+    now, past, ahead = (channel.rowsBetween(*x) for x in ((W.unboundedPreceding, 0), (W.unboundedPreceding, -1), (1, W.unboundedFollowing)))
+    latest = lambda x, w: F.coalesce(F.last(x, True).over(w), F.lit(False))
+    following = lambda when, *what: F.first(F.when(when, F.struct(*what)), True).over(ahead)
+    rows = rows.withColumns({"sustain_set": F.when(reset, False).when(number == 64, down), "sostenuto_set": F.when(reset, False).when(number == 66, down)})
+    rows = rows.withColumns({"sustain": latest("sustain_set", now), "sostenuto": latest("sostenuto_set", now), "sostenuto_before": latest("sostenuto_set", past)})
+    rows = rows.withColumns(
+        {
+            "pressed": F.col("sostenuto_set") & ~F.col("sostenuto_before"),
+            "lifted": F.coalesce(reset | (~F.col("sostenuto_set") & F.col("sostenuto_before")), F.lit(False)),
+            "upped": ~F.col("sustain_set"),
+        }
+    )
+    rows = rows.withColumn("up", F.when(~F.col("sustain"), F.struct("seq", "tick")).otherwise(following(F.col("upped"), "seq", "tick")))
+    rows = rows.withColumns(
+        {
+            "lifts": F.count_if("lifted").over(now),
+            "after_lift": following(F.col("lifted"), F.col("up.seq").alias("seq"), F.col("up.tick").alias("tick")),
+            "caught": F.coalesce(F.last(F.when(F.col("pressed"), F.col("seq")), True).over(past) > F.greatest("on_seq", F.last(F.when(reset, F.col("seq")), True).over(past)), F.lit(False)),
+        }
+    )
+    state = ("seq", "tick", "sostenuto", "lifts", "after_lift")
+    rows = rows.withColumn("first_up", F.when(~F.col("sustain"), F.struct(*state)).otherwise(following(F.col("upped"), *state)))
+    free = ~F.col("sustain") & ~(F.col("sostenuto") & F.col("caught"))
+    blocked = F.col("caught") & F.col("first_up.sostenuto") & (F.col("first_up.lifts") == F.col("lifts"))
+    end = lambda c: F.when(free, F.col(c)).when(blocked, F.col(f"first_up.after_lift.{c}")).otherwise(F.col(f"first_up.{c}"))
+    return rows.withColumns({"end_seq": end("seq"), "end_tick": end("tick")})
 
 
 def flatten_pedals(events: DataFrame) -> DataFrame:
     """Event rows with the pedals rendered into note lengths, and the track's counters on every row.
 
-    State depends on its own output, so each track is folded in order by one call; a track is bounded
-    by its file. Expects (file, track_index, seq, tick, kind, channel, data1, data2).
+    Pedal, reset and realtime events go, as do notes that end at the tick they began. Releases move
+    to where no pedal holds them any more, or to the track's last tick, before its end. Windows over one exchange by track; a
+    track is bounded by its file. Expects (file, track_index, seq, tick, kind, channel, data1, data2).
     """
-    schema = "file string, track_index int, seq long, tick long, kind string, channel int, data1 int, data2 int, " + ", ".join(f"{c} long" for c in COUNTERS)
-    columns = ["kind", "channel", "data1", "data2"]
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        state, last, end = Flattener(), 0, None
-        pdf = pdf.sort_values("seq")
-        for tick, *values in pdf[["tick", *columns]].itertuples(index=False):
-            event = dict(zip(columns, (None if pd.isna(v) else v for v in values), strict=True))
-            last = max(last, tick)
-            if event["kind"] == "end_of_track":
-                end = event
-            else:
-                state.feed(tick, event)
-        rows = state.finish(last)
-        if end is not None:
-            rows.append((last, end))
-        out = pd.DataFrame([(key[0], key[1], k, tick, *(e[c] for c in columns)) for k, (tick, e) in enumerate(rows)], columns=["file", "track_index", "seq", "tick", *columns])
-        return out.assign(**state.counts).astype({"channel": "Int32", "data1": "Int32", "data2": "Int32"})
-
-    return events.select(*TRACK, "seq", "tick", *columns).groupBy(*TRACK).applyInPandas(run, schema)
+    rows = events.select(*TRACK, "seq", "tick", "kind", "channel", "data1", "data2").repartition(*TRACK)
+    rows = rows.withColumn("is_on", F.coalesce((F.col("kind") == "note_on") & (F.col("data2") > 0), F.lit(False)))
+    rows = _let_go(_paired(rows))
+    whole = W.partitionBy(*TRACK)
+    ended, ending = F.col("on_seq").isNotNull() & ~F.col("zero"), F.col("kind") == "end_of_track"
+    control = lambda *n: (F.col("kind") == "control_change") & F.col("data1").isin(*n)
+    counted = (control(64), control(66), control(67), control(121), F.col("kind") == "realtime", F.col("on_seq").isNotNull() & F.col("zero"), ended & F.col("end_seq").isNull())
+    late = F.lit(2**63 - 1)
+    rows = rows.withColumns(
+        {
+            **{name: F.count_if(what).over(whole) for name, what in zip(COUNTERS, counted, strict=True)},
+            "last_tick": F.max("tick").over(whole),
+            "last_end": F.max(F.when(ending, F.col("seq"))).over(whole),
+        }
+    )
+    rows = rows.where(~F.coalesce(control(64, 66, 67, 121), F.lit(False)) & (F.col("kind") != "realtime") & ~F.col("zero") & (~ending | (F.col("seq") == F.col("last_end"))))
+    rows = rows.withColumns(
+        {
+            "place": F.when(ending, late).when(ended, F.coalesce("end_seq", late - 1)).otherwise(F.col("seq")),
+            "tick": F.when(ending, F.col("last_tick")).when(ended, F.coalesce("end_tick", "last_tick")).otherwise(F.col("tick")),
+        }
+    )
+    order = W.partitionBy(*TRACK).orderBy("tick", "place", "seq")
+    return rows.select(*TRACK, (F.row_number().over(order) - 1).cast("long").alias("seq"), "tick", "kind", "channel", "data1", "data2", *COUNTERS)
 
 
 def conversion_receipts(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -27,6 +27,71 @@ shared_items as (select p.item_id, p.shard_id, o.owner from packages p join (sel
 CHUNK = 65536
 PLAN = f"plan as (select bucket, key, unnest(range(cast(ceil(size / {CHUNK}.0) as bigint))) as chunk_index, size from v_inventory where size > 0)"
 
+# The state at an event is looked up by time (asof joins), where the engine runs windows over all events.
+PEDALS = f"""
+with {NOTES_SQL},
+raw as (
+  select stream_id as file, note_index, onset_tick as tick, 'note_on' as kind, cast(pitch % 12 + 60 as integer) as data1, cast(velocity as integer) as data2 from v_notes
+  union all select stream_id, note_index, onset_tick + duration_ticks, 'note_off', cast(pitch % 12 + 60 as integer), 0 from v_notes
+  union all select stream_id, note_index, onset_tick + 1, 'control_change', cast([64, 66, 67, 121][note_index % 4 + 1] as integer), cast(note_index % 3 * 63 as integer) from v_notes),
+ev as (select *, row_number() over (partition by file order by tick, note_index, kind, data1) as seq, max(tick) over (partition by file) as last_tick from raw),
+ctl as (select file, seq, tick, data1 as n, data2 >= 64 as down from ev where kind = 'control_change' and data1 <> 67),
+sustain as (select file, seq, tick, n = 64 and down as down from ctl where n <> 66),
+sostenuto as (select *, coalesce(lag(down) over (partition by file order by seq), false) as prior from (select file, seq, tick, n, n = 66 and down as down from ctl where n <> 64)),
+lifts as (select * from sostenuto where n = 121 or (not down and prior)),
+keys as (select *, sum(case kind when 'note_on' then 1 else -1 end) over (partition by file, data1 order by seq) as s from ev where kind <> 'control_change'),
+floors as (select *, least(0, min(s) over w) as low, least(0, coalesce(min(s) over (w rows between unbounded preceding and 1 preceding), 0)) as low_before from keys window w as (partition by file, data1 order by seq)),
+heights as (select *, kind = 'note_off' and s < low_before as stray, s - low + case kind when 'note_off' then 1 else 0 end as height from floors),
+taken as (
+  select *, lag(seq) over w as on_seq, lag(tick) over w as on_tick, lead(tick) over w as off_tick
+  from heights window w as (partition by file, data1, case when not stray then height end order by seq)),
+offs as (select * from taken where kind = 'note_off' and not stray and on_tick <> tick),
+at_off as (
+  select o.*, coalesce(su.down, false) as su_down, coalesce(so.down, false) as so_down, coalesce(p.seq > o.on_seq and p.seq > coalesce(r.seq, 0), false) as caught, u.seq as up_seq, u.tick as up_tick, l.seq as lift_seq
+  from offs o
+  asof left join sustain su on su.file = o.file and su.seq < o.seq
+  asof left join sostenuto so on so.file = o.file and so.seq < o.seq
+  asof left join (select * from sostenuto where down and not prior) p on p.file = o.file and p.seq < o.seq
+  asof left join (select * from ctl where n = 121) r on r.file = o.file and r.seq < o.seq
+  asof left join (select * from sustain where not down) u on u.file = o.file and u.seq > o.seq
+  asof left join lifts l on l.file = o.file and l.seq > o.seq),
+first_up as (
+  select a.*, case when su_down then up_seq else seq end as t1, case when su_down then up_tick else tick end as t1_tick from at_off a),
+caught as (
+  select f.*, f.caught and coalesce(so.down, false) and (f.lift_seq is null or f.lift_seq > f.t1) as blocked, l.seq as r1, l.tick as r1_tick
+  from first_up f
+  asof left join sostenuto so on so.file = f.file and so.seq <= f.t1
+  asof left join lifts l on l.file = f.file and l.seq > f.t1),
+lifted as (
+  select c.*, coalesce(su.down, false) as r1_down, u.seq as r1_up, u.tick as r1_up_tick
+  from caught c
+  asof left join sustain su on su.file = c.file and su.seq <= c.r1
+  asof left join (select * from sustain where not down) u on u.file = c.file and u.seq > c.r1),
+released as (
+  select file, seq, last_tick, data1, data2,
+         case when not su_down and not (so_down and caught) then seq when blocked then case when r1_down then r1_up else r1 end else t1 end as end_seq,
+         case when not su_down and not (so_down and caught) then tick when blocked then case when r1_down then r1_up_tick else r1_tick end else t1_tick end as end_tick
+  from lifted),
+placed as (
+  select file, seq, coalesce(end_seq, 9223372036854775806) as place, coalesce(end_tick, last_tick) as tick, 'note_off' as kind, data1, data2, end_seq is null as late from released
+  union all select file, seq, seq, tick, kind, data1, data2, false from taken where stray or (kind = 'note_on' and off_tick is distinct from tick))
+select p.file, row_number() over (partition by p.file order by p.tick, place, p.seq) - 1 as seq, p.tick, p.kind, p.data1, p.data2,
+       (select count(*) from taken t where t.file = p.file and t.kind = 'note_off' and not stray and t.on_tick = t.tick) as zero_duration_dropped,
+       count(*) filter (where late) over (partition by p.file) as end_of_track_noteoffs
+from placed p"""
+PACKS = f"""
+with recursive {INVENTORY_SQL},
+named as (select sha256(bucket || chr(0) || key) as object_id, size from v_inventory),
+framed as (select *, cast(cast('0x' || substr(object_id, 1, 16) as ubigint) % 8 as integer) as worker, 4 + strlen('{{"object_id":"' || object_id || '","size":' || size || '}}') + size as frame from named),
+small as (select *, row_number() over (partition by worker order by object_id) as i from framed where size <= 300000 and frame + 8 <= 2000000),
+fold as (
+  select worker, i, object_id, size, 0 as pack_index, 0 as position, 8 + frame as used from small where i = 1
+  union all
+  select s.worker, s.i, s.object_id, s.size, case when full_ then pack_index + 1 else pack_index end, case when full_ then 0 else position + 1 end, case when full_ then 8 else used end + frame
+  from (select f.worker, f.i, f.pack_index, f.position, f.used, used + n.frame > 2000000 or position + 1 >= 10000 as full_ from fold f join small n on n.worker = f.worker and n.i = f.i + 1) f
+  join small s on s.worker = f.worker and s.i = f.i + 1)
+select worker, object_id, size, cast(pack_index as bigint) as pack_index, cast(position as bigint) as position from fold"""
+
 
 def _v(body: str) -> str:
     return f"with {INVENTORY_SQL}{body}"
@@ -200,7 +265,7 @@ select dataset_id, count(*) as sample_size, count(*) filter (where status = 'ACC
         f"""with {ITEMS_SQL}, a as (select dataset_id, doc_id, row_number() over (partition by dataset_id order by stream_id) as place from v_items),
 codes as (select dataset_id, 'A' as code from a where place <= 20 union all select dataset_id, 'B' from a where place <= 20 and doc_id % 2 = 1) select dataset_id, code, count(*) as streams from codes group by all""",
     ),
-    "pedal_flattening": (_flattened, None),
+    "pedal_flattening": (_flattened, PEDALS),
     "midi_round_trip": (
         lambda s, d: _midi_events(s, d).where("kind in ('note_on', 'note_off')").select("file", "tick", "kind", "data1", "data2"),
         f"""with {NOTES_SQL}
@@ -234,7 +299,7 @@ select 'hash without one owner' as rule, canonical_hash as key from owners where
         lambda s, d: validation.pending(items(s, d).select("stream_id"), items(s, d).select("stream_id", F.when(F.col("doc_id") % 3 == 0, "COMPLETE").otherwise("FAILED").alias("state")), ["stream_id"]),
         f"with {ITEMS_SQL} select stream_id from v_items where doc_id % 3 <> 0",
     ),
-    "next_fit_packs": (_packs, None),
+    "next_fit_packs": (_packs, PACKS),
     "semantic_hash": (_semantic, f"""with {ITEMS_SQL} select stream_id, sha256('{{"dataset_id":"' || dataset_id || '","piece_id":' || piece_id || ',"shard_id":' || shard_id || '}}') as semantic_sha256 from v_items"""),
     "realtime_stripping": (
         lambda s, d: tracks.strip_realtime(_deltas(s, d)).select("file", "seq", "delta", "kind"),

@@ -15,41 +15,48 @@ def make(spark, rows, stream="s"):
 
 @pytest.fixture(scope="module")
 def f1(spark):
-    return make(spark, [(0, 2400, 60, 90), (0, 480, 60, 80), (6000, 480, 72, 100)])
+    """Three notes in bar 0, one of which ends in bar 1; nothing in bar 2; one in bar 3."""
+    return make(spark, [(0, 960, 50, 40), (0, 1920, 55, 100), (960, 1200, 59, 70), (5800, 60, 62, 10)])
 
 
 @pytest.fixture(scope="module")
 def f2(spark):
-    return make(spark, [(0, 2400, 60, 80), (2400, 240, 64, 80), (6240, 240, 67, 80)])
+    """Bars 0 and 2 to 3 sound."""
+    return make(spark, [(100, 50, 60, 80), (4000, 1900, 64, 80)])
 
 
 def test_notes_and_bars(f1):
     rows = canonical.canonical_notes(f1).orderBy("note_index").collect()
-    assert [(r.onset_tick, r.duration_ticks, r.pitch, r.velocity, r.onset_bar_index, r.end_bar_index) for r in rows[:2]] == [(0, 2400, 60, 90, 0, 1), (0, 480, 60, 80, 0, 0)]
+    assert [(r.onset_tick, r.duration_ticks, r.onset_bar_index, r.end_bar_index) for r in rows] == [(0, 960, 0, 0), (0, 1920, 0, 0), (960, 1200, 0, 1), (5800, 60, 3, 3)]
+    assert [(r.pitch, r.velocity) for r in rows] == [(50, 40), (55, 100), (59, 70), (62, 10)]
     bars = canonical.canonical_bars(f1).orderBy("bar_index").collect()
     assert [b.is_empty for b in bars] == [False, False, True, False]
 
 
 def test_primitive_features(f1):
     rows = {r.bar_index: r for r in sweep.primitive_features(f1).collect()}
-    assert (rows[0].max_polyphony, rows[0].mean_polyphony, rows[0].occupied_fraction, rows[0].rest_fraction) == (2, 1.25, 1.0, 0.0)
-    assert (rows[2].note_count, rows[2].onset_count, rows[2].occupied_fraction, rows[2].rest_fraction) == (0, 0, 0.0, 1.0)
+    r = rows[0]
+    assert (r.note_count, r.max_polyphony, r.mean_polyphony, r.occupied_fraction, r.rest_fraction) == (3, 2, 2.0, 1.0, 0.0)
+    assert (r.median_duration, r.median_pitch, r.pitch_range, r.mean_velocity, r.notes_per_beat) == (1200.0, 55.0, 9, 70.0, 0.75)
+    assert (rows[1].note_count, rows[1].max_polyphony, rows[1].occupied_fraction) == (0, 1, 240 / 1920)
+    assert (rows[2].note_count, rows[2].max_polyphony, rows[2].occupied_fraction, rows[2].rest_fraction, rows[2].median_pitch) == (0, 0, 0.0, 1.0, None)
 
 
 def test_projection(f2):
     bars = projection.live_bars(f2).orderBy("bar_index").collect()
-    assert [b.occupied for b in bars] == [True, True, False, True]
+    assert [b.occupied for b in bars] == [True, False, True, True]
     assert len({b.segment_id for b in bars} - {None}) == 2
-    assert (bars[3].source_position, bars[3].segment_position) == (0.875, 0)
+    assert [b.source_position for b in bars[2:]] == [0.625, 0.875]
+    assert bars[0].segment_position == 0 and bars[2].segment_position < bars[3].segment_position
     assert projection.live_segments(f2).count() == 2
 
 
 def test_no_window_crosses_silence_or_streams(spark, f2):
-    whole = make(spark, [(0, 7680, 60, 80)], "t")
+    whole = make(spark, [(10, 7000, 60, 80), (7000, 3000, 60, 80)], "t")
     both = f2.union(whole)
     bars = projection.live_bars(both)
     windows = projection.eligible_windows(projection.number_spans(bars.select("stream_id", "bar_index")), bars).collect()
-    assert [(w.stream_id, w.bar_indices) for w in windows] == [("t", [0, 1, 2, 3])]
+    assert sorted((w.stream_id, w.bar_indices) for w in windows) == [("t", [0, 1, 2, 3]), ("t", [1, 2, 3, 4]), ("t", [2, 3, 4, 5])]
     bare = spark.createDataFrame([(None, k, k) for k in range(4)], "stream_id string, bar_index long, span_index long")
     assert projection.resolve_streamless(bare, bars.select("stream_id", "bar_index")).where("stream_id is not null").count() == 0
 

@@ -16,16 +16,16 @@ RECEIPTS = "shard_id int, stream_id string, receipt_status string, cached_status
 
 
 def test_shard_dedupe(spark):
-    rows = spark.createDataFrame([("stream-a", 0, "hash-a"), ("stream-b", 0, "hash-shared"), ("stream-c", 1, "hash-shared"), ("stream-d", 1, "hash-d")], ITEMS)
+    rows = spark.createDataFrame([("oak", 2, "x1"), ("elm", 2, "x2"), ("ash", 5, "x1"), ("fir", 5, "x3"), ("yew", 7, "x2"), ("box", 7, "x1")], ITEMS)
     got = {r.stream_id: r for r in dedupe.first_owner(rows).collect()}
-    assert (got["stream-c"].status, got["stream-c"].kept_stream_id, got["stream-c"].occurrence_count) == ("DUPLICATE", "stream-b", 2)
-    assert sum(r.status == "UNIQUE" for r in got.values()) == 3
+    assert {k for k, r in got.items() if r.status == "UNIQUE"} == {"oak", "elm", "fir"}
+    assert [(got[k].kept_stream_id, got[k].kept_shard_id, got[k].occurrence_count) for k in ("ash", "box", "yew")] == [("oak", 2, 3), ("oak", 2, 3), ("elm", 2, 2)]
     index = incremental.empty_index(spark)
-    for shard in (0, 1):
+    for shard in (2, 5, 7):
         out, index = incremental.consolidate(index, rows.where(F.col("shard_id") == shard))
         for r in out.collect():
             assert (r.status, r.kept_stream_id) == (got[r.stream_id].status, got[r.stream_id].kept_stream_id)
-    assert {r.canonical_hash: r.occurrence_count for r in index.collect()}["hash-shared"] == 2
+    assert {r.canonical_hash: r.occurrence_count for r in index.collect()} == {"x1": 3, "x2": 2, "x3": 1}
 
 
 def test_decision_table(spark):
@@ -83,7 +83,7 @@ def test_family_is_never_divided(spark):
 
 
 def test_caps(spark):
-    bars = spark.createDataFrame([(f"s{k}", n) for k, lengths in enumerate([(3, 1), (4, 1), (5, 1)]) for n in lengths], "stream_id string, length long")
+    bars = spark.createDataFrame([(f"s{k}", n) for k, lengths in enumerate([(9, 2), (31, 6), (64, 1, 1)]) for n in lengths], "stream_id string, length long")
     assert profile.cap_choice(bars).first().selected_cap == 64
     assert [r.cap for r in profile.cap_profile(bars).orderBy("cap").collect()] == list(profile.CAPS)
     none = bars.where("length > 100")
@@ -102,11 +102,11 @@ INVENTORY = "bucket string, key string, size long, etag string"
 
 
 def test_canonicalize(spark):
-    rows = [("b", "k1", 1, "x"), ("b", "k1", 1, "x"), ("b", "k0", 2, "y")]
+    rows = [("b", "north", 4, "x"), ("b", "north", 4, "x"), ("b", "east", 6, "y")]
     got = inventory.canonicalize(spark.createDataFrame(rows, INVENTORY)).orderBy("key").collect()
-    assert [(r.key, r.copies) for r in got] == [("k0", 1), ("k1", 2)]
+    assert [(r.key, r.copies) for r in got] == [("east", 1), ("north", 2)]
     with pytest.raises(Exception, match="conflicting records"):
-        inventory.canonicalize(spark.createDataFrame([*rows, ("b", "k0", 2, "z")], INVENTORY)).collect()
+        inventory.canonicalize(spark.createDataFrame([*rows, ("b", "east", 6, "z")], INVENTORY)).collect()
 
 
 def test_coverage(spark):
@@ -117,7 +117,7 @@ def test_coverage(spark):
 
 
 def test_packs_and_frames(spark):
-    sizes = [400_000, 400_000, 3_000_000, 400_000]
+    sizes = [300_000, 700_000, 2_500_000, 90_000]
     rows = spark.createDataFrame([(0, f"{k:064d}", n) for k, n in enumerate(sizes)], "worker int, object_id string, size long")
     packs = inventory.next_fit_packs(rows, 1 << 20, 1 << 22).orderBy("object_id").collect()
     assert [(r.object_id[-1], r.pack_index, r.position) for r in packs] == [("0", 0, 0), ("1", 0, 1), ("3", 1, 0)]
@@ -129,10 +129,10 @@ def test_packs_and_frames(spark):
 
 def test_registry(spark):
     schema = "dataset_id string, role string, training string, method string, estimate long"
-    rows = spark.createDataFrame([("done", "raw", "ALLOWED", "http", 1), ("auto", "raw", "ALLOWED", "http", 1), ("manual", "raw", "ALLOWED", "manual_gated", 1), ("unclear", "raw", None, "http", 1), ("overlay", "overlay", "ALLOWED", "http", None)], schema)
-    got = {r.dataset_id: r.disposition for r in registry.classify_sources(rows, rows.where("dataset_id = 'done'")).collect()}
-    assert got == {"done": "COMPLETED_SKIP", "auto": "QUEUED", "manual": "GATED", "unclear": "GATED", "overlay": "GATED"}
-    guard = spark.range(1).select(registry.storage_guard(F.lit(1000), F.lit(100), 600, 3.0), registry.storage_guard(F.lit(1000), F.lit(200), 600, 3.0)).first()
+    rows = spark.createDataFrame([("tin", "raw", "ALLOWED", "git", 7), ("zinc", "raw", "ALLOWED", "git", 8), ("lead", "raw", "ALLOWED", "none", 9), ("gold", "raw", "DENIED", "git", 1), ("iron", "raw", None, "git", 1), ("coal", "index", "ALLOWED", "git", None)], schema)
+    got = {r.dataset_id: r.disposition for r in registry.classify_sources(rows, rows.where("dataset_id = 'tin'")).collect()}
+    assert got == {"tin": "COMPLETED_SKIP", "zinc": "QUEUED", "lead": "GATED", "gold": "GATED", "iron": "GATED", "coal": "GATED"}
+    guard = spark.range(1).select(*[registry.storage_guard(F.lit(5300), F.lit(n), 300, 2.5) for n in (2000, 2001)]).first()
     assert tuple(guard) == (True, False)
     eta = spark.range(1).select(registry.eta(F.lit(100), F.lit(300), F.lit(100)).alias("e"), registry.eta(F.lit(99), F.lit(300), F.lit(100)).alias("n")).first()
     assert tuple(eta.e) == (160, 200, 250) and eta.n is None
