@@ -1,21 +1,23 @@
 """Substring dedup over a log-structured index of window fingerprints.
 
-Every WIDTH consecutive words of a document are a window with a 64-bit fingerprint and 16 check bits
+Every WIDTH consecutive words of a document are a window with a 64-bit fingerprint and 32 check bits
 of an independent hash. The index is a list of immutable runs; a run holds, per shard, the sorted
 fingerprints of past batches with their check bits.
 ingest() deals the windows of a new batch to shards, sorts them, merge-joins them with every run
 and with the batch itself (a window also counts if a smaller doc_id of the same batch has it),
 writes the fingerprints that are new as the next run, and compacts the runs into one when there
-are FANOUT of them. Batches must come in ascending doc_id order.
+are FANOUT of them. Batches must come in ascending doc_id order. save() copies the runs to a
+folder that outlives the application, and load() goes on from there.
 
 A fingerprint is looked up by all of its 64 bits, and what it meets is verified by the check bits,
-which come from other word hashes of another construction. The shard follows from the fingerprint
-and verifies nothing. Texts are never compared, so a false match has a chance of about N / 2**80 per
-window in an index of N windows.
+which come from independent word hashes; the shard follows from the fingerprint and verifies nothing.
+Texts are not compared: a window meets one of other words by chance only, for one of N windows with
+a chance of about N / 2**96.
 
 Edge cases: a null or empty text has no words; texts under WIDTH words keep all of them; rows
 with a null doc_id cannot be ordered: they are kept whole and not indexed; rows of equal doc_id
-never remove words of each other; an empty table gives an empty result.
+never remove words of each other; an empty table gives an empty result; other columns pass through
+SubstringIndex.remove(), and its own get underscores where their names are taken.
 """
 
 from __future__ import annotations
@@ -32,15 +34,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaver.llm.textvec import Words, mix, rolled, slices, text_bytes
-from quaver.session import arrow_rows, release_shuffles, remove_path, scratch_path, ship
+from quaver.session import arrow_rows, release_shuffles, remove_path, scratch_path, ship, unused
 
 WIDTH = 13
 #: Runs that are merged into one.
 FANOUT = 3
 #: Parts of the doc_id range that query() ingests one after the other.
 BATCHES = 4
-#: Input bytes (as Spark estimates them) that one shard serves, and the bounds of their number.
-SHARD_BYTES, LEAST_SHARDS, MOST_SHARDS = 6 << 20, 32, 8192
+#: Text bytes that one shard serves at most, and shards for each shuffle partition, so that the
+#: partitions, each of some shards, are of about one size.
+SHARD_BYTES, SHARDS_EACH = 64 << 20, 8
 
 #: Fingerprints in one row of a run, documents in one Arrow batch, and text bytes hashed at once:
 #: small, so that an executor never holds a whole run's shard in several copies.
@@ -50,6 +53,7 @@ SLICE = 1 << 20
 WRITE = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(4 << 20)}
 
 DEALT = "shard int, docs binary, hashes binary, checks binary, places binary"
+SETTINGS = "shards long, width long, fanout long, runs long"
 FOUND = "kind int, doc_id long, mark long, shard int, blob binary"
 
 
@@ -67,28 +71,22 @@ def unpack(blob: bytes, kind: type) -> np.ndarray:
 
 
 def pack_run(h: np.ndarray, check: np.ndarray) -> bytes:
-    """Check bits, two bytes each after their number, and the sorted fingerprints."""
+    """Check bits, four bytes each after their number, and the sorted fingerprints."""
     return len(h).to_bytes(4, "little") + check.tobytes() + pack(h)
 
 
 def unpack_run(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(blob[:4], "little")
-    return unpack(blob[4 + 2 * n :], np.uint64), np.frombuffer(blob, np.uint16, n, 4)
+    return unpack(blob[4 + 4 * n :], np.uint64), np.frombuffer(blob, np.uint32, n, 4)
 
 
 def checks(words: Words, width: int) -> np.ndarray:
-    """Check bits of each run of `width` words: sums of mixed (byte, place in the word) pairs, no polynomial of the bytes."""
-    size = words.end - words.start
-    ends = np.cumsum(size)
-    place = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
-    data = words.data[np.repeat(words.start, size) + place]
-    sums = np.append(np.uint64(0), np.cumsum(mix(data + (place.astype(np.uint64) << np.uint64(8)) + np.uint64(0x3C79AC492BA7B653)), dtype=np.uint64))
-    h = mix(sums[ends] - sums[ends - size] + size.astype(np.uint64) * np.uint64(0x1C69B3F74AC4AE35))
-    return (rolled(h, width, 0x9FB21C651E98DF25) >> np.uint64(48)).astype(np.uint16)
+    """Check bits of each run of `width` words."""
+    return (rolled(words.hashes(1), width, 0x9FB21C651E98DF25) >> np.uint64(32)).astype(np.uint32)
 
 
 def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(shards)).astype(np.uint16)
+    return (mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(shards)).astype(np.uint32)
 
 
 def _deal(shards: int, width: int):
@@ -109,16 +107,14 @@ def _deal(shards: int, width: int):
             place = (at - words.first[doc]).astype(np.uint32)
             shard = shard_of(h, shards)
             order = np.argsort(shard, kind="stable")
-            bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+            cuts = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0))
             rows: list[tuple[int, bytes, bytes, bytes, bytes]] = []
-            for s, (a, b) in enumerate(pairwise(bounds.tolist())):
-                if b == a:
-                    continue
+            for a, b in pairwise([*cuts.tolist(), len(order)]):
                 own = order[a:b]
                 starts = np.flatnonzero(np.append(True, np.diff(doc[own]) != 0))
                 some = doc[own][starts]
                 head = np.column_stack([ids[some], marks[some], np.diff(np.append(starts, b - a))]).astype(np.int64)
-                rows.append((s, zstandard.compress(head.tobytes(), 1), h[own].tobytes(), check[own].tobytes(), pack(place[own])))
+                rows.append((int(shard[own[0]]), zstandard.compress(head.tobytes(), 1), h[own].tobytes(), check[own].tobytes(), pack(place[own])))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["shard", "docs", "hashes", "checks", "places"])
 
     return run
@@ -152,11 +148,11 @@ def _held(known: np.ndarray, check: np.ndarray, run: np.ndarray, run_check: np.n
 def _merge(new: pa.Table, runs: pa.Table) -> pa.Table:
     """One shard: the words that earlier windows cover (kind 0) and the fingerprints that are new (kind 1)."""
     if not new.num_rows:
-        return _run_rows(0, np.zeros(0, np.uint64), np.zeros(0, np.uint16))
+        return _run_rows(0, np.zeros(0, np.uint64), np.zeros(0, np.uint32))
     shard = new.column("shard")[0].as_py()
     heads = [np.frombuffer(zstandard.decompress(x), np.int64).reshape(-1, 3) for x in _blobs(new.column("docs"))]
     h = np.concatenate([np.frombuffer(x, np.uint64) for x in _blobs(new.column("hashes"))])
-    check = np.concatenate([np.frombuffer(x, np.uint16) for x in _blobs(new.column("checks"))])
+    check = np.concatenate([np.frombuffer(x, np.uint32) for x in _blobs(new.column("checks"))])
     place = np.concatenate([unpack(x, np.uint32) for x in _blobs(new.column("places"))])
     head = np.concatenate(heads)
     group = np.repeat(np.arange(len(head)), head[:, 2])
@@ -200,11 +196,11 @@ def _covered(starts: np.ndarray, n_words: int, width: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def _remove(width: int):
+def _remove(width: int, hits: str, made_names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts, n_words, n_removed = [], [], []
-            for text, blobs in zip(batch.column("text").to_pylist(), batch.column("hits"), strict=True):
+            for text, blobs in zip(batch.column("text").to_pylist(), batch.column(hits), strict=True):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 n_words.append(len(words))
                 if blobs.is_valid and len(blobs):
@@ -213,9 +209,9 @@ def _remove(width: int):
                     words = list(compress(words, (~gone).tolist()))
                 n_removed.append(n_words[-1] - len(words))
                 texts.append(b" ".join(words))
-            names = [c for c in batch.schema.names if c not in ("text", "hits")]
+            names = [c for c in batch.schema.names if c not in ("text", hits)]
             made = [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *made], names=[*names, "kept_text", "n_words", "n_removed"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *made], names=[*names, *made_names])
 
     return run
 
@@ -223,7 +219,7 @@ def _remove(width: int):
 class SubstringIndex:
     """The runs of past batches, and the batches' removals."""
 
-    def __init__(self, spark, shards: int = LEAST_SHARDS, width: int = WIDTH, fanout: int = FANOUT) -> None:
+    def __init__(self, spark, shards: int = 32, width: int = WIDTH, fanout: int = FANOUT) -> None:
         ship(spark)
         self.spark, self.shards, self.width, self.fanout = spark, shards, width, fanout
         self.runs: list[DataFrame] = []
@@ -269,21 +265,38 @@ class SubstringIndex:
 
     def remove(self, docs: DataFrame, hits: DataFrame) -> DataFrame:
         """The other columns of docs with kept_text, n_words and n_removed; kept words are joined by one space."""
-        found = hits.groupBy("doc_id", "mark").agg(F.collect_list("blob").alias("hits"))
-        keyed = docs.withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
-        joined = keyed.join(found.withColumnRenamed("doc_id", "hit_id"), (F.col("doc_id").cast("long") == F.col("hit_id")) & (keyed["mark"] == found["mark"]), "left")
+        mark, hit_id, hit_mark, blobs = (unused(c, docs.columns) for c in ("mark", "hit_id", "hit_mark", "hits"))
+        found = hits.groupBy(F.col("doc_id").alias(hit_id), F.col("mark").alias(hit_mark)).agg(F.collect_list("blob").alias(blobs))
+        keyed = docs.withColumn(mark, F.xxhash64(F.coalesce("text", F.lit(""))))
+        joined = keyed.join(found, (F.col("doc_id").cast("long") == F.col(hit_id)) & (F.col(mark) == F.col(hit_mark)), "left")
         fields = [f for f in docs.schema.fields if f.name != "text"]
-        schema = T.StructType([*fields, T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-        return joined.select(*[docs[f"`{c}`"] for c in docs.columns], "hits").mapInArrow(_remove(self.width), schema)
+        names = [unused(c, [f.name for f in fields]) for c in ("kept_text", "n_words", "n_removed")]
+        schema = T.StructType([*fields, *(T.StructField(c, kind) for c, kind in zip(names, (T.StringType(), T.LongType(), T.LongType()), strict=True))])
+        return joined.select(*[F.col(f"`{c}`") for c in docs.columns], blobs).mapInArrow(_remove(self.width, blobs, names), schema)
+
+    def save(self, path: str) -> None:
+        """Write the runs and settings to a new folder; it is complete once its settings are there."""
+        for k, run in enumerate(self.runs):
+            run.write.options(**WRITE).parquet(f"{path}/run-{k}")
+        self.spark.createDataFrame([(self.shards, self.width, self.fanout, len(self.runs))], SETTINGS).coalesce(1).write.json(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark, path: str) -> SubstringIndex:
+        """The index that save() wrote; its folder is only read."""
+        found = spark.read.schema(SETTINGS).json(f"{path}/settings").first()
+        index = cls(spark, found.shards, found.width, found.fanout)
+        index.runs = [spark.read.schema("shard int, blob binary").parquet(f"{path}/run-{k}") for k in range(found.runs)]
+        return index
 
 
 def dedup_substrings(docs: DataFrame, batches: int = BATCHES, width: int = WIDTH, shards: int | None = None) -> DataFrame:
     """All of docs, ingested in `batches` parts of the doc_id range by an index that goes afterwards: see SubstringIndex.remove."""
     spark = docs.sparkSession
+    least = F.percentile_approx("doc_id", [k / batches for k in range(1, batches)] or [1.0], 1000)
+    cuts, size = docs.agg(least, F.sum(F.octet_length("text"))).first()
     if shards is None:
-        size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        shards = max(LEAST_SHARDS, min(MOST_SHARDS, size // SHARD_BYTES))
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 1000).alias("cuts")).first()[0] if batches > 1 else []
+        shards = max(SHARDS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // SHARD_BYTES)
+    cuts = cuts if batches > 1 else []
     cuts = sorted(set(cuts or []))
     index = SubstringIndex(spark, shards, width)
     hits = None

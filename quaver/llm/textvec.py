@@ -5,6 +5,7 @@ Everything works on the UTF-8 bytes of a slice at once; no per-word Python objec
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -78,6 +79,19 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+#: Places of a word whose random numbers are kept; further ones are made each time.
+PLACES = 256
+
+
+def _cell(cell: np.ndarray, kind: int) -> np.ndarray:
+    return mix(mix(cell.astype(np.uint64) + np.uint64((kind + 1) * 0x3C79AC492BA7B653 % 2**64)) ^ np.uint64(0x1C69B3F74AC4AE35))
+
+
+@functools.lru_cache
+def _cells(kind: int) -> np.ndarray:
+    return _cell(np.arange(PLACES << 8), kind)
+
+
 class Words:
     """Words of all texts of a slice: start, end (byte bounds), doc (row) and per-row counts."""
 
@@ -100,13 +114,21 @@ class Words:
         self.count = np.diff(bounds)
         self.doc = np.repeat(np.arange(rows), self.count)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes, equal for equal words everywhere."""
-        power, inverse = _power_tables(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * power[: len(self.data)], out=sums[1:])
-        h = (sums[self.end] - sums[self.start]) * inverse[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    def hashes(self, kind: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word's bytes, equal for equal words everywhere: a sum of one random number for every
+        (place, byte) of the word. Kinds are independent hashes. Two words meet by chance only, whatever they look like."""
+        n = len(self.data)
+        begin = np.zeros(n, np.int64)
+        begin[self.start] = self.start
+        place = np.arange(n) - np.maximum.accumulate(begin) if n else begin
+        cell = place << 8 | self.data
+        near = place < PLACES
+        value = _cells(kind)[np.where(near, cell, 0)]
+        if not near.all():
+            value[~near] = _cell(cell[~near], kind)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(value, out=sums[1:])
+        return mix(sums[self.end] - sums[self.start] + (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
     def windows(self, width: int) -> np.ndarray:
         """Indices of words that begin a window of `width` words of one row."""

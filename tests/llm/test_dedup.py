@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
 from quaver.llm import linededup, substring
 from quaver.llm.textvec import Words
@@ -65,6 +66,39 @@ def test_repeated_and_unordered_ids(make):
     assert substring.query(make(["x"]).where("false")).count() == 0
 
 
+def thue_morse(n):
+    """Two words of 2**n letters that collide under every polynomial modulo 2**64."""
+    word = "a"
+    for _ in range(n):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_built_collisions(make):
+    a, b = thue_morse(10)
+    texts = [" ".join([*"abcdefghijkl", w]) for w in (a, b, a)]
+    assert sorted((r.doc_id, r.n_removed) for r in substring.query(make(texts)).collect()) == [(0, 0), (1, 0), (2, 13)]
+
+
+def test_index_outlives_its_application(spark, make, tmp_path):
+    texts = passages(7, 30)
+    docs = make(texts).select("doc_id", "text")
+    index = substring.SubstringIndex(spark, shards=3)
+    first = index.ingest(docs.where("doc_id < 15"))
+    index.save(str(tmp_path / "index"))
+    index.drop()
+    again = substring.SubstringIndex.load(spark, str(tmp_path / "index"))
+    hits = first.union(again.ingest(docs.where("doc_id >= 15")))
+    rows = again.remove(docs, hits).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in rows) == plain_substrings(list(enumerate(texts)))
+
+
+def test_taken_names(make):
+    docs = make(["a b", "a b"]).withColumnsRenamed({"fp": "Kept_Text", "key": "hit_id", "y": "hit_mark"})
+    got = substring.dedup_substrings(docs).first()
+    assert [got[c] for c in ("mark", "n_words", "Kept_Text", "kept_text_", "n_words_", "n_removed")] == [None, None, None, "a b", 2, 0]
+
+
 def test_packing():
     x = np.unique(np.random.default_rng(1).integers(0, 2**64 - 1, 500, np.uint64))
     assert (substring.unpack(substring.pack(x), np.uint64) == x).all()
@@ -78,7 +112,8 @@ def merged(rows, runs=None):
 
 
 def test_equal_fingerprints_are_verified(monkeypatch):
-    monkeypatch.setattr(Words, "hashes", lambda self: np.zeros(len(self.start), np.uint64))  # every window has the same fingerprint
+    hashes = Words.hashes
+    monkeypatch.setattr(Words, "hashes", lambda self, kind=0: np.zeros(len(self.start), np.uint64) if kind == 0 else hashes(self, kind))  # every window has the same fingerprint
     a, b, c = (" ".join(f"{x}{k}" for k in range(13)) for x in "abc")
     found, run = merged([(1, a), (2, b), (3, a)])
     assert found == [3]
@@ -89,7 +124,7 @@ def test_equal_fingerprints_are_verified(monkeypatch):
 
 def test_run_packing():
     h = np.unique(np.random.default_rng(2).integers(0, 2**64 - 1, 500, np.uint64))
-    check = np.arange(len(h)).astype(np.uint16)
+    check = np.arange(len(h)).astype(np.uint32)
     assert all((x == y).all() for x, y in zip(substring.unpack_run(substring.pack_run(h, check)), (h, check), strict=True))
 
 
@@ -139,6 +174,40 @@ def test_lines_come_and_go(spark, make, limit):
         back.delete(b).refs.collect()
 
 
+def test_line_index_outlives_its_application(spark, make, tmp_path):
+    first, more = lines_of(5), lines_of(6, 25)
+    a, b = make(first).select("doc_id", "text"), make(more, ids=list(range(1000, 1000 + len(more)))).select("doc_id", "text")
+    linededup.LineIndex.empty(spark, min_docs=8, shards=4).insert(a).insert(b).save(str(tmp_path / "index"))
+    back = linededup.LineIndex.load(spark, str(tmp_path / "index")).delete(b)
+    assert sorted((r.doc_id, r.n_dropped) for r in back.apply(a, report=True).collect()) == sorted((k, n) for k, _, n, _ in plain_lines(first, 8))
+
+
+def test_shards_follow_the_keys(spark, make, monkeypatch):
+    monkeypatch.setattr(linededup, "KEYS_EACH", 3)
+    lines = [f"line {k}" for k in range(40)]
+    docs = make(["\n".join(lines[:20]), "\n".join(lines[:20]), "\n".join(lines), "\n".join(lines)])
+    small = linededup.LineIndex.empty(spark, min_docs=2, shards=1).insert(docs.where("doc_id < 2"))
+    index = small.insert(docs.where("doc_id >= 2"))
+    assert (small.shards, index.shards) == (8, 16)
+    assert all(r.n_dropped == r.n_lines for r in index.apply(docs.select("doc_id", "text"), report=True).collect())
+
+
+def test_full_filters_are_built_anew(spark, make):
+    few, many = (["\n".join(f"line {k}" for k in range(n))] * 2 for n in (3, 500))
+    index = linededup.LineIndex.empty(spark, min_docs=2, shards=1).insert(make(few)).insert(make(many))
+    assert len(index.filters.first()["filter"]) >= 500 * 2
+    assert all(r.n_dropped == 500 for r in index.apply(make(many).select("doc_id", "text"), report=True).collect())
+
+
+@pytest.mark.parametrize("limit", [linededup.BROADCAST_BYTES, 0])
+def test_taken_line_names(spark, make, limit):
+    docs = make(lines_of(2)).withColumn("mark", F.lit(7)).withColumn("found", F.lit("f"))
+    index = linededup.LineIndex.empty(spark, min_docs=8).insert(docs)
+    for r in index.apply(docs, report=True, limit=limit).collect():
+        assert (r.mark, r.found, r.n_lines) == (7, "f", None) and r["n_lines_"] >= r.n_dropped
+    assert index.apply(docs, limit=limit).columns == docs.columns
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(5)
     hi, lo = rng.integers(-(2**63), 2**63 - 1, (2, 5000))
