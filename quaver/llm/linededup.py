@@ -4,11 +4,13 @@ A line's key is the line stripped of [\\x20\\x09-\\x0D] at both ends with A-Z lo
 counts once per document row. `LineIndex` keeps for every key its reference count (rows of
 (hi, lo, refs), the 128-bit XXH3 of the key) and, per shard, a cuckoo filter over the keys
 that at least `min_docs` documents hold. insert() and delete() add documents and take them
-back; apply() drops the lines whose key the filter may hold and the table confirms.
+back; apply() drops the lines whose key the filter may hold and the table confirms. There are as many
+shards as the common keys need, KEYS_EACH to a shard. save() writes the index to a folder that
+outlives the application, and load() reads it back.
 
 Edge cases: a null or empty text is one empty line and stays as it is; empty keys are never
 counted or dropped; repeated rows are documents of their own; an empty table gives an empty
-index; deleting what was never inserted raises; other columns pass through unchanged.
+index; deleting what was never inserted raises; other columns pass through unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,15 +28,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaver.llm.textvec import LOWER, Words, mix, slices, text_bytes
-from quaver.session import materialize, ship
+from quaver.session import materialize, ship, unused
 
 MIN_DOCS = 10
-SHARDS = 64
+#: Shards of an empty index; they are doubled while common keys are more than KEYS_EACH a shard.
+SHARDS, KEYS_EACH = 64, 1 << 18
 #: Bytes of filters and confirmed keys that one broadcast may hold; beyond it apply() joins instead.
 BROADCAST_BYTES = 32 << 20
 #: Distinct keys that a task sums up before it hands them on.
 FLUSH_KEYS = 200_000
 
+SETTINGS = "min_docs long, shards long"
 COUNTS = "hi long, lo long, refs long"
 
 
@@ -99,21 +103,32 @@ class Cuckoo:
     def places(self, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return places(hi, lo, np.uint64(len(self.tags) - 1))
 
+    def _fill(self, at: np.ndarray, tag: np.ndarray, hold: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Put value[k] into a slot of bucket at[k] that has hold[k]; which k found none."""
+        order = np.lexsort((hold, at))
+        bucket, wanted = at[order], hold[order]
+        fresh = np.append(True, (bucket[1:] != bucket[:-1]) | (wanted[1:] != wanted[:-1])) if len(order) else np.zeros(0, bool)
+        place = np.arange(len(order)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+        other = self.tags[bucket] != wanted[:, None]
+        fits = place < (~other).sum(1)
+        slot = np.argsort(other, axis=1, kind="stable")[np.flatnonzero(fits), place[fits]]
+        self.tags[bucket[fits], slot] = value[order][fits]
+        return np.sort(order[~fits])
+
     def insert(self, hi: np.ndarray, lo: np.ndarray) -> bool:
         """False if the filter is full; the caller then builds a larger one from the table."""
         mask = len(self.tags) - 1
-        for tag, a, b in zip(*(x.tolist() for x in self.places(hi, lo)), strict=True):
-            at = a
-            for turn in range(500):
+        tag, a, b = (x.astype(np.int64) for x in self.places(hi, lo))
+        left = np.arange(len(tag))
+        for at in (a, b):
+            left = left[self._fill(at[left], tag[left], np.zeros(len(left), np.int64), tag[left])]
+        for tag, at in zip(tag[left].tolist(), b[left].tolist(), strict=True):
+            for turn in range(500):  # the few that meet two full buckets push others on
                 row = self.tags[at]
                 free = np.flatnonzero(row == 0)
                 if len(free):
                     row[free[0]] = tag
                     break
-                other = self.tags[b] if turn == 0 else None
-                if other is not None and (other == 0).any():
-                    other[np.flatnonzero(other == 0)[0]] = tag
-                    break
                 k = turn & 3
                 tag, row[k] = int(row[k]), tag
                 at = (at ^ int(spread(np.array([tag], np.uint64))[0])) & mask
@@ -122,14 +137,12 @@ class Cuckoo:
         return True
 
     def delete(self, hi: np.ndarray, lo: np.ndarray) -> None:
-        for tag, a, b in zip(*(x.tolist() for x in self.places(hi, lo)), strict=True):
-            for at in (a, b):
-                found = np.flatnonzero(self.tags[at] == tag)
-                if len(found):
-                    self.tags[at, found[0]] = 0
-                    break
-            else:
-                raise ValueError("the filter does not hold a key to be deleted")
+        tag, a, b = (x.astype(np.int64) for x in self.places(hi, lo))
+        left = np.arange(len(tag))
+        for at in (a, b):
+            left = left[self._fill(at[left], tag[left], tag[left], np.zeros(len(left), np.int64))]
+        if len(left):
+            raise ValueError("the filter does not hold a key to be deleted")
 
 
 def spread(tag: np.ndarray) -> np.ndarray:
@@ -202,10 +215,39 @@ def _rewrite(batch: pa.RecordBatch, lines: Lines, drop: np.ndarray) -> tuple[pa.
 def _output(batch: pa.RecordBatch, names: list[str], text: pa.Array, lines: Lines, dropped: np.ndarray, report: bool) -> pa.RecordBatch:
     columns = {c: batch.column(c) for c in names} | {"text": text}
     if report:
-        columns |= {"n_lines": pa.array(lines.n_lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())}
+        columns |= {unused("n_lines", names): pa.array(lines.n_lines, pa.int64()), unused("n_dropped", names): pa.array(dropped, pa.int64())}
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def _shard(shards: int):
+    return F.pmod("hi", F.lit(shards)).cast("int").alias("shard")
+
+
+def _change(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A shard's filter with the keys that crossed the bound put in or taken out; null if it must be built anew."""
+    blob = next(iter(pdf["filter"].dropna()), None)
+    filt = Cuckoo(np.frombuffer(blob, np.uint16).reshape(-1, 4).copy()) if blob is not None else None
+    came, went = (pdf[pdf["sign"] == s][["hi", "lo"]].to_numpy(np.int64) for s in (1, -1))
+    if filt is not None:
+        filt.delete(went[:, 0], went[:, 1])
+    if filt is None or not filt.insert(came[:, 0], came[:, 1]):
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "filter": [None]})
+    return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "filter": [filt.tags.tobytes()]})
+
+
+def _built(keys: DataFrame, shards: int) -> DataFrame:
+    """Filters over (hi, lo) keys."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        size = len(pdf)
+        hi, lo = (pdf[c].to_numpy(np.int64) for c in ("hi", "lo"))
+        while not (filt := Cuckoo.sized(size)).insert(hi, lo):
+            size *= 2
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "filter": [filt.tags.tobytes()]})
+
+    return keys.select(_shard(shards), "hi", "lo").groupBy("shard").applyInPandas(run, "shard int, filter binary")
+
+
 @dataclass
 class LineIndex:
     """refs: (hi, lo, refs) of every key; filters: (shard, filter) over the keys with min_docs references."""
@@ -234,46 +276,43 @@ class LineIndex:
         sums = sums.withColumn("refs", F.when(F.col("refs") < 0, F.raise_error(F.lit("deleted lines that were never inserted")).cast("long")).otherwise(F.col("refs")))
         table = materialize(sums.where("refs > 0 or old > 0"), "line-refs")
         now, before = F.col("refs") >= self.min_docs, F.col("old") >= self.min_docs
-        shard = F.pmod("hi", F.lit(self.shards)).cast("int").alias("shard")
-        # a crossed key, or a key of a shard that has crossed ones: enough to change or rebuild its filter
-        crossed = table.where(now != before).select(shard, "hi", "lo", now.alias("came"))
-        kept = table.where(now & before).select(shard, "hi", "lo")
-        filters = self._filters(crossed, kept)
-        return LineIndex(table.where("refs > 0").select("hi", "lo", "refs"), materialize(filters, "line-filters"), self.min_docs, self.shards)
-
-    def _filters(self, crossed: DataFrame, kept: DataFrame) -> DataFrame:
-        """Filters after the crossings: changed in place, and rebuilt from the table where they are full."""
-        rows = (
-            crossed.select("shard", "hi", "lo", F.when(F.col("came"), 1).otherwise(-1).alias("sign"), F.lit(None).cast("binary").alias("filter"))
-            .union(kept.select("shard", "hi", "lo", F.lit(0), F.lit(None).cast("binary")))
-            .union(self.filters.select("shard", F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(2), "filter"))
-        )
-
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            blob = next(iter(pdf["filter"][pdf["sign"] == 2]), None)
-            part = {s: pdf[pdf["sign"] == s][["hi", "lo"]].to_numpy(np.int64) for s in (1, 0, -1)}
-            filt = Cuckoo(np.frombuffer(blob, np.uint16).reshape(-1, 4).copy()) if blob is not None else None
-            if filt is not None:
-                filt.delete(part[-1][:, 0], part[-1][:, 1])
-            if filt is None or not filt.insert(part[1][:, 0], part[1][:, 1]):
-                keys = np.concatenate([part[1], part[0]])
-                size = max(1, len(keys))
-                while not (filt := Cuckoo.sized(size)).insert(keys[:, 0], keys[:, 1]):
-                    size *= 2
-            return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "filter": [filt.tags.tobytes()]})
-
-        return rows.groupBy("shard").applyInPandas(run, "shard int, filter binary")
+        shards, common = self.shards, table.where(now).count()
+        while common > shards * KEYS_EACH:
+            shards *= 2
+        if shards != self.shards:
+            filters = _built(table.where(now), shards)
+        else:
+            crossed = table.where(now != before).select(_shard(shards), "hi", "lo", F.when(now, 1).otherwise(-1).alias("sign"), F.lit(None).cast("binary").alias("filter"))
+            held = self.filters.select("shard", F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(0), "filter")
+            changed = materialize(crossed.union(held).groupBy("shard").applyInPandas(_change, "shard int, filter binary"), "line-changes")
+            full = [r[0] for r in changed.where("filter is null").collect()]
+            filters = changed.where("filter is not null")
+            if full:
+                filters = filters.union(_built(table.where(now).where(_shard(shards).isin(full)), shards))
+        return LineIndex(table.where("refs > 0").select("hi", "lo", "refs"), materialize(filters, "line-filters"), self.min_docs, shards)
+
+    def save(self, path: str) -> None:
+        """Write the index to a new folder; it is complete once its settings are there."""
+        self.refs.write.parquet(f"{path}/refs")
+        self.filters.write.parquet(f"{path}/filters")
+        self.refs.sparkSession.createDataFrame([(self.min_docs, self.shards)], SETTINGS).coalesce(1).write.json(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark, path: str) -> LineIndex:
+        ship(spark)
+        found = spark.read.schema(SETTINGS).json(f"{path}/settings").first()
+        return cls(spark.read.schema(COUNTS).parquet(f"{path}/refs"), spark.read.schema("shard int, filter binary").parquet(f"{path}/filters"), found.min_docs, found.shards)
 
     def apply(self, docs: DataFrame, report: bool = False, limit: int = BROADCAST_BYTES) -> DataFrame:
-        """docs with the common lines dropped from `text`; with report also n_lines and n_dropped."""
+        """docs with the common lines dropped from `text`; with report also n_lines and n_dropped (with underscores after them where taken)."""
         spark, names = docs.sparkSession, list(docs.columns)
-        schema = T.StructType([*docs.schema.fields, *([T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())] if report else [])])
+        schema = T.StructType([*docs.schema.fields, *([T.StructField(unused(c, names), T.LongType()) for c in ("n_lines", "n_dropped")] if report else [])])
         common = self.refs.where(F.col("refs") >= self.min_docs).select("hi", "lo")
         size = common.count() * 16 + (self.filters.agg(F.sum(F.octet_length("filter"))).first()[0] or 0)
         if size > limit:
             return self._apply_joined(docs, common, names, schema, report)
-        keys = np.array([(r[0], r[1]) for r in common.toLocalIterator()], np.int64).reshape(-1, 2)
-        probe = spark.sparkContext.broadcast(Probe([(r[0], bytes(r[1])) for r in self.filters.collect()], keys[:, 0], keys[:, 1], self.shards))
+        keys = common.toArrow()
+        probe = spark.sparkContext.broadcast(Probe([(r[0], bytes(r[1])) for r in self.filters.collect()], *(keys.column(c).to_numpy() for c in ("hi", "lo")), self.shards))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
@@ -286,27 +325,28 @@ class LineIndex:
     def _apply_joined(self, docs: DataFrame, common: DataFrame, names: list[str], schema: T.StructType, report: bool) -> DataFrame:
         """The way past the broadcast bound: join (text, key) pairs with the table, then the found keys with the texts."""
 
+        mark, found = unused("mark", names), unused("found", names)
+
         def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
                 lines = Lines(*text_bytes(batch.column("text")))
                 rows = np.unique(np.column_stack([lines.doc, lines.key]), axis=0)
-                mark = batch.column("mark").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(mark[rows[:, 0]]), pa.array(rows[:, 1]), pa.array(rows[:, 2])], names=["mark", "hi", "lo"])
+                marks = batch.column("mark").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(marks[rows[:, 0]]), pa.array(rows[:, 1]), pa.array(rows[:, 2])], names=["mark", "hi", "lo"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
                 lines = Lines(*text_bytes(batch.column("text")))
-                keys = [{(x["hi"], x["lo"]) for x in found or ()} for found in batch.column("found").to_pylist()]
+                keys = [{(x["hi"], x["lo"]) for x in some or ()} for some in batch.column(found).to_pylist()]
                 drop = np.array([(h, l) in keys[k] for k, (h, l) in zip(lines.doc.tolist(), lines.key.tolist(), strict=True)], bool)
                 text, dropped = _rewrite(batch, lines, drop)
                 yield _output(batch, names, text, lines, dropped, report)
 
-        mark = F.xxhash64(F.coalesce("text", F.lit("")))
-        marked = docs.select(mark.alias("mark"), "text")
-        hits = marked.mapInArrow(pairs, "mark long, hi long, lo long").join(common, ["hi", "lo"])
-        found = materialize(hits.groupBy("mark").agg(F.collect_set(F.struct("hi", "lo")).alias("found")), "line-hits")
-        joined = docs.withColumn("mark", mark).join(found, "mark", "left")
-        return joined.select(*[F.col(f"`{c}`") for c in names], "found").mapInArrow(run, schema)
+        made = F.xxhash64(F.coalesce("text", F.lit("")))
+        hits = docs.select(made.alias("mark"), "text").mapInArrow(pairs, "mark long, hi long, lo long").join(common, ["hi", "lo"])
+        rows = materialize(hits.groupBy(F.col("mark").alias(mark)).agg(F.collect_set(F.struct("hi", "lo")).alias(found)), "line-hits")
+        joined = docs.withColumn(mark, made).join(rows, mark, "left")
+        return joined.select(*[F.col(f"`{c}`") for c in names], found).mapInArrow(run, schema)
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
