@@ -2,7 +2,12 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 from quaver.llm import decontam
+from quaver.llm.textvec import LOWER, text_bytes
 from samples import ODD
 
 ITEMS = "item_id long, text string"
@@ -51,7 +56,7 @@ def test_large_benchmarks_go_in_parts(spark, make):
     bench = spark.createDataFrame(items, ITEMS)
     docs = make(texts).select("doc_id", "text")
     flat = lambda df: sorted((r.doc_id, str(r.found)) for r in df.collect())
-    assert flat(decontam.scan(docs, bench, limit=400)) == flat(decontam.scan(docs, bench))
+    assert flat(decontam.scan(docs, bench, limit=4000)) == flat(decontam.scan(docs, bench))
 
 
 def test_removal(spark, make):
@@ -66,6 +71,38 @@ def test_removal(spark, make):
         assert len(split(r.text)) == plain(texts[r.doc_id], items)[0] - plain(texts[r.doc_id], items)[1]
 
 
+def test_the_bound_is_on_the_set():
+    import pickle
+
+    rng = random.Random(6)
+    rows = [(str(k), " ".join(f"{rng.randrange(16**6):x}" for _ in range(2000))) for k in range(20)]
+    rows += [("same", "a b c d e f g h i j " * 3000)] * 3
+    grams = decontam.Grams(rows)
+    bound = sum(len(t) + decontam.WINDOW_BYTES * len(split(t)) for _, t in rows)
+    assert len(pickle.dumps(grams)) <= bound + (1 << 16)
+
+
+def test_windows_of_one_hash_are_told_apart(spark, make, monkeypatch):
+    from quaver.llm.textvec import Words
+
+    monkeypatch.setattr(Words, "hashes", lambda self, kind=0: np.zeros(len(self.start), np.uint64))
+    texts, items = case(4)
+    grams = decontam.Grams([(str(i) if i is not None else None, t) for i, t in items])
+    for text in texts:
+        data, offsets = text_bytes(pa.array([text], pa.string()))
+        words = Words(LOWER[data], offsets, decontam.STOP)
+        hit = {j for i, w, _ in grams.scan(words) for j in range(i, i + w)}
+        names = {x for _, _, some in grams.scan(words) for x in some}
+        assert (len(hit), len(names)) == plain(text, items)[1:3]
+
+
+def test_taken_names(spark, make):
+    texts, items = case(5)
+    docs = make(texts).withColumn("Found", F.lit(1))
+    assert decontam.remove_documents(docs, spark.createDataFrame(items, ITEMS)).columns == docs.columns
+    assert {r["Found"] for r in decontam.remove_spans(docs, spark.createDataFrame(items, ITEMS)).collect()} == {1}
+
+
 def test_empty(spark, make):
     none = spark.createDataFrame([], ITEMS)
     assert [r.contaminated for r in decontam.query(make(["a b"]), none).collect()] == [False]
