@@ -39,7 +39,8 @@ class Mapping:
     """A layout: the paths it needs, and how turns are read.
 
     `turns` lists (role or None, path of the text); with `each` set, turns come from that array,
-    and role and text are looked up in its items under the first of the given names.
+    and role and text are looked up in its items under the first of the given names. `named` gives
+    the canonical role for a layout's own names of it; other roles stay as they are.
     """
 
     name: str
@@ -48,6 +49,7 @@ class Mapping:
     each: str = ""
     role: tuple[str, ...] = ()
     text: tuple[str, ...] = ()
+    named: tuple[tuple[str, str], ...] = ()
 
 
 def _layout(name: str, *turns: tuple[str, str], optional: tuple[str, ...] = ()) -> Mapping:
@@ -59,17 +61,13 @@ MAPPINGS: tuple[Mapping, ...] = (
     Mapping("rows", frozenset({"conv_id", "role", "text", "turn"}), each="", role=("role",), text=("text",)),
     Mapping("messages", frozenset({"messages[].role", "messages[].content"}), each="messages", role=("role",), text=("content",)),
     Mapping("message texts", frozenset({"messages[].role", "messages[].text"}), each="messages", role=("role",), text=("text",)),
-    Mapping("conversations", frozenset({"conversations[].from", "conversations[].value"}), each="conversations", role=("from",), text=("value",)),
+    Mapping("conversations", frozenset({"conversations[].from", "conversations[].value"}), each="conversations", role=("from",), text=("value",), named=(("human", "user"), ("gpt", "assistant"))),
     _layout("instruction", ("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output"), optional=("system", "input")),
     _layout("question", ("system", "system"), ("user", "question"), ("assistant", "answer"), optional=("system",)),
     _layout("prompt", ("system", "system"), ("user", "prompt"), ("assistant", "response"), optional=("system",)),
     _layout("completion", ("user", "prompt"), ("assistant", "completion")),
 )
 
-#: Other names of the three roles.
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
-
-
 def paths(value, at: str = "") -> set[str]:
     """The nested field paths of a record."""
     if isinstance(value, dict):
@@ -109,7 +107,7 @@ class Formatter:
         out = []
         for item in items:
             role = first(item, m.role)
-            out.append((ROLES.get(role, role), first(item, m.text)))
+            out.append((dict(m.named).get(role, role), first(item, m.text)))
         return out
 
 

@@ -15,7 +15,7 @@ def test_round_trip(turns):
     formatter = chat.Formatter()
     formatted, spans = chat.format_record(record, formatter)
     if turns:
-        want = [(chat.ROLES.get(r or "", r or ""), t or "") for r, t in turns]
+        want = [(r or "", t or "") for r, t in turns]
         assert [x[:2] for x in chat.parse(formatted)] == want
         assert [chat.unescape(formatted[a:b]) for a, b in spans] == [t for r, t in want if r == "assistant"]
 
@@ -41,6 +41,12 @@ def test_layouts(spark):
     assert chat.fingerprint(chat.paths(records[0])) == chat.fingerprint(chat.paths({"messages": [{"content": 1, "role": "x"}]}))
 
 
+def test_roles_of_rows_stay(spark):
+    rows = spark.createDataFrame([(1, 0, "human", "q"), (1, 1, "gpt", "a"), (1, 2, "bot", "b")], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.query(rows).collect()}[1]
+    assert got.turns_sha256 == hashlib.sha256(b"human\nq\ngpt\na\nbot\nb\n").hexdigest() and got.loss_chars == 0
+
+
 def test_query(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (1, None, "system", "s"), (2, 0, None, "x"), (2, 0, "assistant", "é\\"), (2, 0, "assistant", "é\\"), (None, 0, "user", "")]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as formatted", "2 as spans")
