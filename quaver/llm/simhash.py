@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from quaver.llm.textvec import slices
 from quaver.operators.components import connected_components
-from quaver.session import discard, materialize, ship
+from quaver.session import discard, materialize, ship, unused
 
 SHINGLE, SEED = 4, 42
 RADIUS, BLOCKS = 4, 3
@@ -222,12 +222,13 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     stay, and of a component that has several texts of its smallest doc_id one stays. Repeated
     rows of the kept document leave one of them. The columns of docs are returned.
     """
-    first = F.min(F.struct("fp", "mark"))["mark"].alias("kept_mark")
-    kept = grouped_rows(docs, **options).where("doc_id = component_id").groupBy("root", F.col("doc_id").alias("kept_id")).agg(first)
-    marked = docs.where("doc_id is not null").withColumn("quaver_text_mark", text_mark())
-    same = (F.col("doc_id").cast("long") == F.col("kept_id")) & (F.col("quaver_text_mark") == F.col("kept_mark"))
-    with_id = marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "quaver_text_mark"])
-    return with_id.select(*docs.columns).union(docs.where("doc_id is null"))
+    mark, kept_id, kept_mark = (unused(c, docs.columns) for c in ("mark", "kept_id", "kept_mark"))
+    first = F.min(F.struct("fp", "mark"))["mark"].alias(kept_mark)
+    kept = grouped_rows(docs, **options).where("doc_id = component_id").groupBy("root", F.col("doc_id").alias(kept_id)).agg(first).drop("root")
+    marked = docs.where("doc_id is not null").withColumn(mark, text_mark())
+    same = (F.col("doc_id").cast("long") == F.col(kept_id)) & (F.col(mark) == F.col(kept_mark))
+    with_id = marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", mark])
+    return with_id.drop(mark).union(docs.where("doc_id is null"))
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -102,5 +102,13 @@ def test_one_row_of_each_component_stays(make):
         assert got == want if want != 1 else len(got) == 1 and got[0][0] == 4
 
 
+def test_taken_names(make):
+    from pyspark.sql import functions as F
+
+    docs = make(["a b", "a b", "c d"]).withColumn("Kept_Id", F.lit(1)).withColumn("kept_mark", F.lit(2)).withColumn("root", F.lit(3))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r["Kept_Id"], r.kept_mark, r.root) for r in kept.collect()) == [(0, 1, 2, 3), (2, 1, 2, 3)]
+
+
 def test_empty(make):
     assert simhash.query(make(["x"]).where("false")).count() == 0
