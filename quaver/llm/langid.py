@@ -8,7 +8,11 @@ the product over its words, and the score is the posterior under a uniform prior
 
 The probabilities are fitted by ROUNDS of expectation maximisation over the distinct words of at
 most about TRAIN_ROWS documents per language (those of the smallest hash of doc_id, so the bound
-holds in expectation), among documents with a language and crc32(doc_id as text) % 3 != 1.
+holds in expectation), among documents with a language and crc32(doc_id as text) % 3 != 1. Words of
+over TRAIN_BYTES bytes do not train.
+
+The forward algorithm goes byte by byte through many words at once. In a word of over LONG bytes it goes
+through many parts of the word at once, from every state that a part can begin in, and then from part to part.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0; without training
 documents every text is `und`; ties go to the alphabetically first language; repeated rows are
@@ -37,6 +41,8 @@ ROUNDS = 3
 SMOOTH = 0.05
 #: Words whose lattices are held at once.
 WORDS_AT_ONCE = 60_000
+#: Longest word that trains, longest that is scored byte by byte, bytes of a part of a longer one, and parts at once.
+TRAIN_BYTES, LONG, PART, PARTS_AT_ONCE = 1000, 512, 128, 256
 _LETTER = regex.compile(r"\p{L}").search
 
 
@@ -157,6 +163,50 @@ class Lattice:
             ring[t % self.most, :n] = 1.0
         return total
 
+    def _step(self, p: np.ndarray, end: np.ndarray, t: int, ring: np.ndarray, used: np.ndarray) -> np.ndarray:
+        """What the arcs that end at the given bytes make of the states in the ring, [part, state, language]."""
+        new = np.zeros(ring.shape[1:])
+        for m in used.tolist():
+            arc = np.where(end >= m, self.arc[np.maximum(end - m, 0), m - 1], -1)
+            some = np.flatnonzero(arc >= 0)
+            new[some] += ring[(t - m) % self.most, some] * p[arc[some]][:, None, :]
+        return new
+
+    def _transfer(self, p: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """For parts of `size` bytes from `first`: [part, state after, state before, language], and the log of its scale.
+
+        State i is the sum of all ways to the byte i before the part's bound.
+        """
+        parts, langs = len(first), p.shape[1]
+        ring = np.zeros((self.most, parts, self.most, langs))
+        for i in range(self.most):
+            ring[-i % self.most, :, i] = 1.0
+        scale = np.zeros((parts, langs))
+        used = np.flatnonzero((self.arc >= 0).any(0)) + 1
+        for t in range(1, size + 1):
+            new = self._step(p, first + t, t, ring, used)
+            ring[t % self.most] = new
+            top = new.max(1)
+            ring /= top[:, None, :]
+            scale += np.log(top)
+        return np.moveaxis(ring[[(size - i) % self.most for i in range(self.most)]], 0, 1), scale
+
+    def whole(self, p: np.ndarray) -> np.ndarray:
+        """forward() of the only word."""
+        n, langs = int(self.length[0]), p.shape[1]
+        state, total = np.zeros((self.most, langs)), np.zeros(langs)
+        state[0] = 1.0
+        rest = n % PART
+        starts = [np.zeros(1, np.int64)] if rest else []
+        starts += [first for first in np.array_split(np.arange(rest, n, PART), max(1, n // PART // PARTS_AT_ONCE)) if len(first)]
+        for k, first in enumerate(starts):
+            for transfer, scale in zip(*self._transfer(p, first, rest if rest and k == 0 else PART), strict=True):
+                state = np.einsum("ijl,jl->il", transfer, state)
+                top = state.max(0)
+                state /= top
+                total += np.log(top) + scale
+        return total + np.log(state[0])
+
     def expected(self, p: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
         """Expected piece counts under one language's p, words weighted (in the order given to __init__)."""
         weight = weight[self.order]
@@ -208,8 +258,14 @@ class Model:
         words = Words(data, offsets)
         d = distinct(words)
         by_word = np.zeros((len(d.offsets) - 1, len(self.langs)))
-        for a, b, lattice in lattices(d.data, d.offsets, self.pieces):
-            by_word[a + lattice.order] = lattice.forward(self.p)
+        size = np.diff(d.offsets)
+        raw, bounds, short = d.data, d.offsets, np.flatnonzero(size <= LONG)
+        if len(short) < len(size):
+            raw, bounds = raw[np.repeat(size <= LONG, size)], np.append(0, np.cumsum(size[short]))
+            for k in np.flatnonzero(size > LONG).tolist():
+                by_word[k] = Lattice(d.data[d.offsets[k] : d.offsets[k + 1]], np.array([0, size[k]]), self.pieces).whole(self.p)
+        for a, _, lattice in lattices(raw, bounds, self.pieces):
+            by_word[short[a + lattice.order]] = lattice.forward(self.p)
         rows = len(offsets) - 1
         return np.column_stack([np.bincount(words.doc, by_word[d.which, k], rows) for k in range(len(self.langs))]) if len(d.which) else np.zeros((rows, len(self.langs)))
 
@@ -228,7 +284,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = d.data.tobytes()
         for k, name in enumerate(names):
             n = np.bincount(d.which[code[words.doc] == k], minlength=len(d.offsets) - 1)
-            some = np.flatnonzero(n)
+            some = np.flatnonzero((n > 0) & (np.diff(d.offsets) <= TRAIN_BYTES))
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array([raw[d.offsets[i] : d.offsets[i + 1]] for i in some.tolist()], pa.binary()), pa.array(n[some], pa.int64())], names=["lang", "word", "n"])
 
 
@@ -263,11 +319,14 @@ def fit(docs: DataFrame, path: str | None = None, rows: int = TRAIN_ROWS) -> Mod
                         offsets = np.append(0, np.cumsum([len(w) for w in some]))
                         for a, b, lattice in lattices(np.frombuffer(b"".join(some), np.uint8), offsets, pieces):
                             total[:, k] += lattice.expected(p[:, k], n[mine][a:b].astype(float), pieces.size)
-            yield pa.RecordBatch.from_arrays([pa.array(list(range(len(langs))), pa.int32()), pa.array([total[:, k].tobytes() for k in range(len(langs))], pa.binary())], names=["k", "part"])
+            piece, k = np.nonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(piece, pa.int32()), pa.array(total[piece, k])], names=["k", "piece", "n"])
 
         count = np.full((pieces.size, len(langs)), SMOOTH)
-        for k, part in counted.mapInArrow(run, "k int, part binary").toLocalIterator():
-            count[:, k] += np.frombuffer(part)
+        sums = counted.mapInArrow(run, "k int, piece int, n double").groupBy("k", "piece").agg(F.sum("n").alias("n")).toArrow()
+        at = sums.column("piece").to_numpy(), sums.column("k").to_numpy()
+        count[at] += sums.column("n").to_numpy()
+        shared.unpersist()
         p = np.vstack([count / count.sum(0), np.zeros((1, len(langs)))])
     return Model(pieces, langs, p)
 
