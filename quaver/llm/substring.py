@@ -1,18 +1,18 @@
 """Substring dedup over a log-structured index of window fingerprints.
 
-Every WIDTH consecutive words of a document are a window with a 64-bit fingerprint and 32 check bits
+Every WIDTH consecutive words of a document are a window with a 64-bit fingerprint and 24 check bits
 of an independent hash. The index is a list of immutable runs; a run holds, per shard, the sorted
 fingerprints of past batches with their check bits.
 ingest() deals the windows of a new batch to shards, sorts them, merge-joins them with every run
 and with the batch itself (a window also counts if a smaller doc_id of the same batch has it),
-writes the fingerprints that are new as the next run, and compacts the runs into one when there
-are FANOUT of them. Batches must come in ascending doc_id order. save() copies the runs to a
+and writes the fingerprints that are new as the next run. Before a batch comes, FANOUT newest runs of one
+level are compacted into one of the next level, so that there are few runs and none is rewritten often. Batches must come in ascending doc_id order. save() copies the runs to a
 folder that outlives the application, and load() goes on from there.
 
 A fingerprint is looked up by all of its 64 bits, and what it meets is verified by the check bits,
 which come from independent word hashes; the shard follows from the fingerprint and verifies nothing.
 Texts are not compared: a window meets one of other words by chance only, for one of N windows with
-a chance of about N / 2**96.
+a chance of about N / 2**88.
 
 Edge cases: a null or empty text has no words; texts under WIDTH words keep all of them; rows
 with a null doc_id cannot be ordered: they are kept whole and not indexed; rows of equal doc_id
@@ -37,13 +37,13 @@ from quaver.llm.textvec import Words, mix, rolled, slices, text_bytes
 from quaver.session import arrow_rows, release_shuffles, remove_path, scratch_path, ship, unused
 
 WIDTH = 13
-#: Runs that are merged into one.
-FANOUT = 3
+#: Runs of a level that are merged into one of the next.
+FANOUT = 2
 #: Parts of the doc_id range that query() ingests one after the other.
 BATCHES = 4
 #: Text bytes that one shard serves at most, and shards for each shuffle partition, so that the
 #: partitions, each of some shards, are of about one size.
-SHARD_BYTES, SHARDS_EACH = 64 << 20, 8
+SHARD_BYTES, SHARDS_EACH = 64 << 20, 2
 
 #: Fingerprints in one row of a run, documents in one Arrow batch, and text bytes hashed at once:
 #: small, so that an executor never holds a whole run's shard in several copies.
@@ -53,7 +53,7 @@ SLICE = 1 << 20
 WRITE = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(4 << 20)}
 
 DEALT = "shard int, docs binary, hashes binary, checks binary, places binary"
-SETTINGS = "shards long, width long, fanout long, runs long"
+SETTINGS = "shards long, width long, fanout long, levels array<int>"
 FOUND = "kind int, doc_id long, mark long, shard int, blob binary"
 
 
@@ -70,19 +70,31 @@ def unpack(blob: bytes, kind: type) -> np.ndarray:
     return np.cumsum(step, dtype=kind)
 
 
+def low_bytes(check: np.ndarray) -> bytes:
+    """The three low bytes of each number."""
+    return check.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def from_low_bytes(raw) -> np.ndarray:
+    some = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+    out = np.zeros((len(some), 4), np.uint8)
+    out[:, :3] = some
+    return out.view("<u4").ravel()
+
+
 def pack_run(h: np.ndarray, check: np.ndarray) -> bytes:
-    """Check bits, four bytes each after their number, and the sorted fingerprints."""
-    return len(h).to_bytes(4, "little") + check.tobytes() + pack(h)
+    """Check bits, three bytes each after their number, and the sorted fingerprints."""
+    return len(h).to_bytes(4, "little") + low_bytes(check) + pack(h)
 
 
 def unpack_run(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(blob[:4], "little")
-    return unpack(blob[4 + 4 * n :], np.uint64), np.frombuffer(blob, np.uint32, n, 4)
+    return unpack(blob[4 + 3 * n :], np.uint64), from_low_bytes(blob[4 : 4 + 3 * n])
 
 
 def checks(words: Words, width: int) -> np.ndarray:
     """Check bits of each run of `width` words."""
-    return (rolled(words.hashes(1), width, 0x9FB21C651E98DF25) >> np.uint64(32)).astype(np.uint32)
+    return (rolled(words.hashes(1), width, 0x9FB21C651E98DF25) >> np.uint64(40)).astype(np.uint32)
 
 
 def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
@@ -114,7 +126,7 @@ def _deal(shards: int, width: int):
                 starts = np.flatnonzero(np.append(True, np.diff(doc[own]) != 0))
                 some = doc[own][starts]
                 head = np.column_stack([ids[some], marks[some], np.diff(np.append(starts, b - a))]).astype(np.int64)
-                rows.append((int(shard[own[0]]), zstandard.compress(head.tobytes(), 1), h[own].tobytes(), check[own].tobytes(), pack(place[own])))
+                rows.append((int(shard[own[0]]), zstandard.compress(head.tobytes(), 1), h[own].tobytes(), low_bytes(check[own]), pack(place[own])))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["shard", "docs", "hashes", "checks", "places"])
 
     return run
@@ -152,7 +164,7 @@ def _merge(new: pa.Table, runs: pa.Table) -> pa.Table:
     shard = new.column("shard")[0].as_py()
     heads = [np.frombuffer(zstandard.decompress(x), np.int64).reshape(-1, 3) for x in _blobs(new.column("docs"))]
     h = np.concatenate([np.frombuffer(x, np.uint64) for x in _blobs(new.column("hashes"))])
-    check = np.concatenate([np.frombuffer(x, np.uint32) for x in _blobs(new.column("checks"))])
+    check = np.concatenate([from_low_bytes(x) for x in _blobs(new.column("checks"))])
     place = np.concatenate([unpack(x, np.uint32) for x in _blobs(new.column("places"))])
     head = np.concatenate(heads)
     group = np.repeat(np.arange(len(head)), head[:, 2])
@@ -223,24 +235,26 @@ class SubstringIndex:
         ship(spark)
         self.spark, self.shards, self.width, self.fanout = spark, shards, width, fanout
         self.runs: list[DataFrame] = []
-        self.paths: list[str] = []
+        self.levels: list[int] = []
+        self.paths: list[str | None] = []  # None: a folder of save()
 
     def ingest(self, docs: DataFrame) -> DataFrame:
         """(doc_id, mark, blob): starts of the windows of docs that an earlier document has; adds a run."""
+        self.compact()
         path = scratch_path(self.spark, "windows")
         with arrow_rows(self.spark, ARROW_ROWS):
             self._merged(docs).write.partitionBy("kind").options(**WRITE).parquet(path)
         out = self.spark.read.schema(FOUND).parquet(path)
         self.runs.append(out.where("kind = 1").select("shard", "blob"))
+        self.levels.append(0)
         self.paths.append(f"{path}/kind=1")
         release_shuffles(self.spark)
-        if len(self.runs) >= self.fanout:
-            self.compact()
         return out.where("kind = 0").select("doc_id", "mark", "blob")
 
-    def _past(self) -> DataFrame:
+    def _past(self, last: int | None = None) -> DataFrame:
+        """The rows of all runs, or of the last ones."""
         past = self.spark.createDataFrame([], "shard int, blob binary")
-        for run in self.runs:
+        for run in self.runs[-last if last else 0 :]:
             past = past.union(run)
         return past
 
@@ -250,18 +264,28 @@ class SubstringIndex:
         return new.groupBy("shard").cogroup(self._past().groupBy("shard")).applyInArrow(_merge, FOUND)
 
     def compact(self) -> None:
-        """Merge all runs into one and remove them."""
-        path = scratch_path(self.spark, "run")
-        self._past().groupBy("shard").applyInArrow(_compact, FOUND).select("shard", "blob").write.options(**WRITE).parquet(path)
-        self.drop()
-        release_shuffles(self.spark)
-        self.runs, self.paths = [self.spark.read.schema("shard int, blob binary").parquet(path)], [path]
+        """Merge the newest runs while `fanout` of them are of one level."""
+        n = self.fanout
+        while len(self.runs) >= n and len(set(self.levels[-n:])) == 1:
+            path = scratch_path(self.spark, "run")
+            self._past(n).groupBy("shard").applyInArrow(_compact, FOUND).select("shard", "blob").write.options(**WRITE).parquet(path)
+            level = self.levels[-1] + 1
+            self._drop(n)
+            release_shuffles(self.spark)
+            self.runs.append(self.spark.read.schema("shard int, blob binary").parquet(path))
+            self.levels.append(level)
+            self.paths.append(path)
+
+    def _drop(self, n: int) -> None:
+        for old in self.paths[len(self.paths) - n :]:
+            if old:
+                remove_path(self.spark, old)
+        keep = len(self.runs) - n
+        self.runs, self.levels, self.paths = self.runs[:keep], self.levels[:keep], self.paths[:keep]
 
     def drop(self) -> None:
-        """Remove the runs; what ingest() returned stays."""
-        for old in self.paths:
-            remove_path(self.spark, old)
-        self.runs, self.paths = [], []
+        """Remove the runs, but not those of a saved index; what ingest() returned stays."""
+        self._drop(len(self.runs))
 
     def remove(self, docs: DataFrame, hits: DataFrame) -> DataFrame:
         """The other columns of docs with kept_text, n_words and n_removed; kept words are joined by one space."""
@@ -278,14 +302,16 @@ class SubstringIndex:
         """Write the runs and settings to a new folder; it is complete once its settings are there."""
         for k, run in enumerate(self.runs):
             run.write.options(**WRITE).parquet(f"{path}/run-{k}")
-        self.spark.createDataFrame([(self.shards, self.width, self.fanout, len(self.runs))], SETTINGS).coalesce(1).write.json(f"{path}/settings")
+        self.spark.createDataFrame([(self.shards, self.width, self.fanout, self.levels)], SETTINGS).coalesce(1).write.json(f"{path}/settings")
 
     @classmethod
     def load(cls, spark, path: str) -> SubstringIndex:
         """The index that save() wrote; its folder is only read."""
         found = spark.read.schema(SETTINGS).json(f"{path}/settings").first()
         index = cls(spark, found.shards, found.width, found.fanout)
-        index.runs = [spark.read.schema("shard int, blob binary").parquet(f"{path}/run-{k}") for k in range(found.runs)]
+        index.levels = list(found.levels)
+        index.runs = [spark.read.schema("shard int, blob binary").parquet(f"{path}/run-{k}") for k in range(len(index.levels))]
+        index.paths = [None] * len(index.runs)
         return index
 
 
