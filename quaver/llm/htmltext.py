@@ -3,13 +3,14 @@
 A page becomes the sequence of its text blocks (text between block-level tags or `br`; inline
 tags do not break a block; scripts, styles, templates and comments have no text). A block is
 read as a decayed sum of hashed vectors of its tag path (tags, class and id words), the mean of
-hashed vectors of its words, its length and its share of linked text. Both directions of the
-LSTM see the whole page; each block is main text or not.
+hashed vectors of its words, its length, its share of linked text and whether it ends like a sentence.
+Both directions of the LSTM see the whole page; each block is main text or not.
 
 The model is trained here on TRAIN_PAGES invented pages whose blocks are labelled by how they
-were made: articles and main sections with headings, paragraphs, lists, quotes and tables,
-among menus, headers, footers, sidebars, notices, adverts, forms and comments, in landmark tags
-or in plain containers with telling classes. No row of the input is used to train it.
+were made: articles with headings, paragraphs, lists, quotes and tables,
+among menus, headers, footers, sidebars, notices, adverts, forms and comments, in landmark tags,
+in containers with telling names, or in containers whose names (col1, wrap, box) say nothing.
+Ends of tags that the HTML standard lets one leave out are left out at times. No row of the input is used to train it.
 
 Edge cases: a null or empty page has an empty text; unclosed, unknown and cut-off tags are
 tolerated; nothing is cut, whatever the page's length; repeated rows are alike; an empty table
@@ -33,10 +34,10 @@ from pyspark.sql import functions as F
 from quaver.llm.textvec import LOWER, Words, slices, text_bytes
 from quaver.session import ship
 
-PATH_DIM, WORD_DIM, HIDDEN = 48, 16, 20
-DIM = PATH_DIM + WORD_DIM + 3
+PATH_DIM, WORD_DIM, HIDDEN = 96, 16, 20
+DIM = PATH_DIM + WORD_DIM + 4
 DECAY = 0.85
-TRAIN_PAGES, EPOCHS, BATCH, RATE, SEED = 2500, 10, 50, 0.01, 5
+TRAIN_PAGES, EPOCHS, BATCH, RATE, SEED = 3500, 9, 40, 0.01, 5
 #: Blocks of pages that are labelled at once.
 BLOCKS_AT_ONCE = 6000
 
@@ -47,9 +48,11 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
-_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))", re.DOTALL)
+# A quote begins a value only after an equals sign; elsewhere it is part of a name or of an unquoted value.
+_TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^"'\s>][^\s>]*)|=|[^>=])*)(?:>|\Z))""", re.DOTALL)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
+SENTENCE_ENDS = frozenset(".!?:;\u3002\uff01\uff1f\u2026\u00bb\u201d\"")
 
 
 @functools.lru_cache(maxsize=1 << 16)
@@ -73,6 +76,7 @@ class Block:
     text: str
     path: np.ndarray
     linked: float
+    start: int  # where its text begins in the page
 
 
 @dataclass
@@ -101,7 +105,7 @@ def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page, in order."""
     out: list[Block] = []
     stack, parts, path = _Open(), [], None
-    linked = 0
+    linked = begin = 0
 
     def flush() -> None:
         nonlocal path, linked
@@ -109,16 +113,16 @@ def blocks(page: str | None) -> list[Block]:
             raw = "".join(parts)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                out.append(Block(text, path, min(1.0, linked / max(1, len(raw)))))
+                out.append(Block(text, path, min(1.0, linked / max(1, len(raw))), begin))
         parts.clear()
         path, linked = None, 0
 
-    def say(text: str) -> None:
-        nonlocal path, linked
+    def say(text: str, at: int) -> None:
+        nonlocal path, linked, begin
         if not text:
             return
         if path is None and not text.isspace():
-            path = stack.path()
+            path, begin = stack.path(), at
         parts.append(text)
         if "a" in stack.tags[-3:]:
             linked += len(text)
@@ -128,10 +132,10 @@ def blocks(page: str | None) -> list[Block]:
     while True:
         m = _TAG.search(page, at)
         if m is None:
-            say(page[at:])
+            say(page[at:], at)
             break
         if m.start() > at:
-            say(page[at : m.start()])
+            say(page[at : m.start()], at)
         at = m.end()
         if m[2] is None:
             continue
@@ -174,14 +178,15 @@ def vectors(pages: list[list[Block]]) -> list[np.ndarray]:
         some = np.flatnonzero(words.count)
         x[some, PATH_DIM : PATH_DIM + WORD_DIM] = np.add.reduceat(vector, words.first[some]) / words.count[some][:, None]
         x[:, :PATH_DIM] = [b.path for b in every]
-        x[:, -3] = np.log1p(np.diff(offsets)) / 5
+        x[:, -4] = np.log1p(np.diff(offsets)) / 5
+        x[:, -3] = [b.text[-1] in SENTENCE_ENDS for b in every]
         x[:, -2] = [b.linked for b in every]
         x[:, -1] = 1
     return np.split(x, np.cumsum([len(p) for p in pages])[:-1])
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    return 0.5 * (1 + np.tanh(0.5 * z))
 
 
 class BiLSTM:
@@ -207,7 +212,7 @@ class BiLSTM:
         out, tape = np.zeros((n, steps, HIDDEN), np.float32), []
         for t in range(steps):
             a = z[:, t] + h @ wh
-            i, f, o = _sigmoid(a[:, :HIDDEN]), _sigmoid(a[:, HIDDEN : 2 * HIDDEN]), _sigmoid(a[:, 2 * HIDDEN : 3 * HIDDEN])
+            i, f, o = np.split(_sigmoid(a[:, : 3 * HIDDEN]), 3, 1)
             g = np.tanh(a[:, 3 * HIDDEN :])
             before = (h, c)
             c = f * c + i * g
@@ -270,6 +275,11 @@ def pad(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, lengths
 
 
+@functools.lru_cache
+def _split(text: str) -> list[str]:
+    return text.split()
+
+
 class Maker:
     """Invents labelled pages: lists of (html, is main text) pieces, every text with its own mark."""
 
@@ -287,108 +297,146 @@ class Maker:
         "share": "share social sharing follow tools",
     }
     MAIN = "content main article post entry story body text article-body post-content entry-content main-content page-content"
+    NEUTRAL = "wrap wrapper col col1 col2 col3 row box block inner outer container grid cell left right center panel module section unit layer zone part area"
 
     def __init__(self, rng: np.random.Generator) -> None:
         self.rng = rng
         syllables = [a + b for a in "b d f g k l m n p r s t v z th sh ch gr st tr".split() for b in "a e i o u an er in on es it ou ar ion".split()]
         self.words = ["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(3000)]
+        self.open_ends = 0.0  # how often this page leaves out an end tag that it may
 
     def pick(self, text: str) -> str:
-        names = text.split()
-        return names[self.rng.integers(len(names))]
+        names = _split(text)
+        return names[int(self.rng.random() * len(names))]
 
     def chance(self, p: float) -> bool:
-        return self.rng.random() < p
+        return bool(self.rng.random() < p)
 
-    def say(self, low: int, high: int) -> str:
-        words = [self.words[k] for k in self.rng.integers(0, len(self.words), self.rng.integers(low, high + 1))]
-        text = " ".join(words).capitalize() + ("." if self.chance(0.6) else "")
+    def say(self, low: int, high: int, full: float = 0.6) -> str:
+        words = [self.words[k] for k in self.rng.integers(0, len(self.words), self.rng.integers(low, high + 1)).tolist()]
+        for k in range(int(self.rng.integers(8, 20)), len(words), int(self.rng.integers(8, 20))):
+            words[k - 1] += "."
+        if self.chance(0.2):
+            signs = "% # * $ ! &amp; ,".split()
+            words = [w + signs[a] * b for w, a, b in zip(words, self.rng.integers(0, 7, len(words)).tolist(), self.rng.integers(1, 4, len(words)).tolist(), strict=True)]
+        text = " ".join(words).capitalize() + (self.pick(". . . ! ?") if self.chance(full) else "")
         return text.replace(" ", " &amp; ", 1) if self.chance(0.1) else text
 
-    def open(self, kind: str) -> tuple[str, str]:
-        """The tag of a container of a kind, and its end."""
+    def marked(self, text: str) -> str:
+        """Now and then a tag within the line around some of the words, or a break."""
+        words = text.split(" ")
+        if len(words) > 3 and self.chance(0.3):
+            a, b = sorted(self.rng.choice(len(words), 2, replace=False).tolist())
+            tag = self.pick("b i em strong span a code")
+            words[a] = (f"<{tag}>" if tag != "a" else '<a href="/z">') + words[a]
+            words[b] += f"</{tag}>" if tag in "a span code" or not self.chance(self.open_ends) else ""
+        return " ".join(words)
+
+    def end(self, tag: str) -> str:
+        return "" if self.chance(self.open_ends) else f"</{tag}>"
+
+    def name(self, kind: str, telling: float) -> str:
+        """A class or id: telling, or one that may stand on anything."""
+        text = (self.MAIN if kind == "main" else self.CLASSES[kind]) if self.chance(telling) else self.NEUTRAL
+        value = self.pick(text)
+        return f" {self.pick('class class id')}=" + (f'"{value}"' if self.chance(0.85) else value if self.chance(0.5) else f"'{value}'")
+
+    def open(self, kind: str, telling: float) -> tuple[str, str]:
+        """The tag of a container of a kind, and its end; without a landmark its name tells the kind so often."""
         landmark = self.LANDMARK.get(kind)
-        tag = landmark if landmark and self.chance(0.6) else self.pick("div div section ul" if kind in ("menu", "share") else "div div section")
+        tag = landmark if landmark and self.chance(0.5) else self.pick("div div section ul" if kind in ("menu", "share") else "div div div section td")
         named = tag != landmark or self.chance(0.3)
-        name = f' {self.pick("class class id")}="{self.pick(self.CLASSES[kind])}"' if named else ""
-        return f"<{tag}{name}>", f"</{tag}>"
+        return f"<{tag}{self.name(kind, telling) if named else ''}>", f"</{tag}>"
 
     def side(self, kind: str) -> list[tuple[str, bool]]:
-        start, end = self.open(kind)
+        links = kind in ("menu", "share", "sidebar") and self.chance(0.85)
+        # what reads like running text and has no landmark must have a telling name
+        start, end = self.open(kind, 0.7 if links or kind == "form" else 1.0)
         out = [(start, False)]
-        if kind in ("menu", "share", "sidebar") and self.chance(0.8):
-            links = [(f'<li><a href="/x">{self.say(1, 3)}</a></li>', False) for _ in range(self.rng.integers(2, 9))]
-            out += [("<ul>", False), *links, ("</ul>", False)] if not start.startswith("<ul") else links
+        if links:
+            out += [(f"<{(t := self.pick('h2 h3 h4 b'))}>{self.say(1, 3, 0.1)}</{t}>", False)] if self.chance(0.3) else []
+            items = [(f'<li><a href="/x">{self.say(1, 6, 0.2)}</a>' + self.end("li"), False) for _ in range(self.rng.integers(1, 11))]
+            out += [("<ul>", False), *items, ("</ul>", False)] if not start.startswith("<ul") else items
         elif kind == "form":
             out += [(f"<label>{self.say(1, 3)}</label><input name=q><button>{self.say(1, 2)}</button>", False)]
         elif kind == "comments":
             out += [(f"<h3>{self.say(1, 4)}</h3>", False)] if self.chance(0.5) else []
             for _ in range(self.rng.integers(1, 5)):
                 inner = self.say(3, 60)
-                out.append((f"<p>{inner}</p>" if self.chance(0.5) else f'<div class="comment"><b>{self.say(1, 2)}</b><p>{inner}</p></div>', False))
+                out.append((f"<p>{inner}{self.end('p')}" if self.chance(0.5) else f'<div class="comment"><b>{self.say(1, 2)}</b><p>{inner}</p></div>', False))
         else:
             for _ in range(self.rng.integers(1, 3)):
-                text = self.say(2, 30) if kind != "footer" else "&copy; " + self.say(2, 20)
-                out.append((f"<p>{text}</p>" if self.chance(0.4) else text + "<br>", False))
+                text = self.say(2, 30) if kind != "footer" else self.pick("&copy; &copy; &#169; 2019 Copyright") + " " + self.say(1, 30)
+                out.append((f"<p>{text}{self.end('p')}" if self.chance(0.4) else text + self.pick("<br> <br/> ."), False))
         return [*out, (end, False)]
 
-    def article(self) -> list[tuple[str, bool]]:
-        if self.chance(0.65):
+    def article(self, plain: bool) -> list[tuple[str, bool]]:
+        """An article; a plain one stands in a container that says nothing."""
+        if plain:
+            tag = self.pick("div div td section center")
+            start = f"<{tag}{self.name('main', 0.0) if self.chance(0.8) else ''}>"
+        elif self.chance(0.6):
             tag = self.pick("article article main")
-            start = f"<{tag}>" if self.chance(0.7) else f'<{tag} class="{self.pick(self.MAIN)}">'
+            start = f"<{tag}{self.name('main', 0.7) if self.chance(0.3) else ''}>"
         else:
             tag = self.pick("div div section")
-            start = f'<{tag} {self.pick("class id")}="{self.pick(self.MAIN)}">'
+            start = f"<{tag}{self.name('main', 1.0)}>"
         out = [(start, False)]
-        if self.chance(0.2):
-            out += [('<div class="body">', False)]
-        if self.chance(0.75):
-            out.append((f"<h1>{self.say(2, 12)}</h1>", True))
-        for _ in range(self.rng.integers(1, 13)):
-            kind, text = self.rng.random(), self.say(1, 120)
-            if kind < 0.62:
-                out.append((f"<p>{text}</p>", True))
+        out += [(f"<div{self.name('main', 0.5)}>", False)] if self.chance(0.2) else []
+        out += [(f"<{(t := self.pick('h1 h1 h1 h2'))}>{self.say(1, 14, 0.4)}</{t}>", True)] if self.chance(0.8) else []
+        full = float(self.rng.choice([0.95, 0.9, 0.6, 0.9 if plain else 0.0]))  # how many paragraphs end like sentences
+        for _ in range(self.rng.integers(1, 16) + 2 * plain):
+            kind, text = self.rng.random(), self.marked(self.say(1, int(self.rng.choice([10, 120])), full))
+            if kind < 0.66:
+                out.append((f"<p>{text}{self.end('p')}", True))
             elif kind < 0.72:
-                out += [(f"<p><b>{text}<br>", True), (f"<p>{self.say(1, 80)}</p>", True)]
+                out.append((f"<p>{text}{self.pick('<br> <br/>')}{self.say(1, 40, 0.8)}{self.end('p')}", True))
             elif kind < 0.78:
-                out.append((f"<h2>{self.say(1, 8)}</h2>", True))
+                out.append((f"<{(t := self.pick('h2 h2 h3'))}>{self.say(1, 8, 0.1)}</{t}>", True))
             elif kind < 0.84:
-                out += [("<ul>", False), *((f"<li>{self.say(1, 20)}</li>", True) for _ in range(self.rng.integers(1, 6))), ("</ul>", False)]
+                t = self.pick("ul ul ol")
+                out += [(f"<{t}>", False), *((f"<li>{self.say(1, 20)}{self.end('li')}", True) for _ in range(self.rng.integers(1, 6))), (f"</{t}>", False)]
             elif kind < 0.88:
-                out.append((f"<blockquote>{text}</blockquote>", True))
+                out.append((f"<{(t := self.pick('blockquote pre'))}>{text}</{t}>", True))
             elif kind < 0.91:
-                out.append((f"<table><tr><td>{self.say(1, 4)}</td></tr></table>", True))
+                out += [("<table>", False), *((f"<tr><td>{self.say(1, 4)}{self.end('td')}<td>{self.say(1, 4)}{self.end('td')}{self.end('tr')}", True) for _ in range(self.rng.integers(1, 4))), ("</table>", False)]
             elif kind < 0.94:
-                out.append((f'<p>{self.say(1, 20)} <a href="/y">{self.say(1, 3)}</a> {self.say(1, 20)}</p>', True))
-            else:
+                out.append((f"<dl><dt>{self.say(1, 4, 0.1)}<dd>{self.say(3, 30)}</dl>" if self.chance(0.5) else f"<div>{text}</div>", True))
+            elif not plain:
                 out += self.side(self.pick("advert sidebar share notice form"))
         if self.chance(0.12):
             out += self.side("comments")
         return [*out, (f"</{tag}>", False)]
 
     def page(self) -> list[tuple[str, bool]]:
-        out = [(f'<!DOCTYPE html><html><head><meta charset="utf-8"><title>{self.say(2, 12)}</title><style>p{{margin:0}}</style><script>var t="</p>";</script></head><body>', False)]
-        for kind in self.rng.permutation(["menu", "header", "notice", "advert", "form"])[: self.rng.integers(1, 5)]:
+        self.open_ends = float(self.rng.choice([0.0, 0.0, 0.1, 0.5, 0.9]))
+        style = "<style>body{color:#111}</style>" if self.chance(0.5) else ""
+        script = "<script>if (1 < 2) { go('<b>'); }</script>" if self.chance(0.5) else ""
+        out = [(f"{self.pick('<!doctype_html> <!DOCTYPE_html> .').replace('_', ' ').replace('.', '')}<html><head><title>{self.say(2, 12)}</title>{style}{script}</head><body>", False)]
+        for kind in self.rng.permutation(["menu", "header", "notice", "advert", "form", "menu"])[: self.rng.integers(0, 5)]:
+            out += self.side(kind)
+        ends = []
+        for _ in range(self.rng.integers(0, 3)):
+            tag = self.pick("div div table")
+            out.append((f"<{tag}{self.name('main', 0.1) if self.chance(0.7) else ''}>" + ("<tr>" if tag == "table" else ""), False))
+            ends.insert(0, (f"</{tag}>", False))
+        before = self.rng.permutation(["sidebar", "menu", "share"])[: self.rng.integers(0, 2)]
+        for kind in before:
             out += self.side(kind)
-        wrapped = self.chance(0.3)
-        out += [('<div class="container">' if self.chance(0.5) else "<div>", False)] if wrapped else []
-        out += self.article()
+        out += self.article(plain=self.chance(0.35))
         for kind in self.rng.permutation(["comments", "sidebar", "share", "advert", "menu", "form"])[: self.rng.integers(0, 4)]:
             out += self.side(kind)
-        out += [("</div>", False)] if wrapped else []
+        out += ends
         out += self.side("footer") if self.chance(0.85) else []
         return out if self.chance(0.1) else [*out, ("</body></html>", False)]
 
 
 def labelled(pieces: list[tuple[str, bool]]) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors and labels of a made page; a piece's blocks are told by parsing the page up to its end."""
+    """Vectors and labels of a made page; a block is of the piece that its text begins in."""
     whole = blocks("".join(p for p, _ in pieces))
-    y, text = [], ""
-    for piece, is_main in pieces:
-        text += piece
-        n = len(blocks(text))
-        y += [is_main] * (n - len(y))
-    return vectors([whole])[0], np.array(y[: len(whole)], np.float32)
+    ends = np.cumsum([len(p) for p, _ in pieces])
+    main = np.array([m for _, m in pieces])
+    return vectors([whole])[0], main[np.searchsorted(ends, [b.start for b in whole], "right")].astype(np.float32)
 
 
 @functools.lru_cache(maxsize=1)
@@ -398,7 +446,7 @@ def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS) -> BiLSTM:
     maker, model = Maker(rng), BiLSTM(rng)
     data = [x for x in (labelled(maker.page()) for _ in range(pages)) if len(x[1])]
     m, v, step = [np.zeros_like(w) for w in model.p], [np.zeros_like(w) for w in model.p], 0
-    for epoch in range(epochs):
+    for _ in range(epochs):
         order = sorted(rng.permutation(len(data)).tolist(), key=lambda k: len(data[k][1]) // 8)
         groups = [order[a : a + BATCH] for a in range(0, len(order), BATCH)]
         for k in rng.permutation(len(groups)).tolist():
@@ -407,10 +455,11 @@ def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS) -> BiLSTM:
             for row, i in enumerate(groups[k]):
                 y[row, : lengths[row]] = data[i][1]
             step += 1
+            rate = RATE * (0.02 + 0.98 * (1 + np.cos(np.pi * step / (epochs * len(groups)))) / 2)
             for w, g, a, b in zip(model.p, model.gradients(x, lengths, y), m, v, strict=True):
                 a += 0.1 * (g - a)
                 b += 0.001 * (g * g - b)
-                w -= RATE / (1 + epoch) * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
+                w -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
     return model
 
 
