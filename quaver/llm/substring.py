@@ -41,9 +41,8 @@ WIDTH = 13
 FANOUT = 2
 #: Parts of the doc_id range that query() ingests one after the other.
 BATCHES = 4
-#: Text bytes that one shard serves at most, and shards for each shuffle partition, so that the
-#: partitions, each of some shards, are of about one size.
-SHARD_BYTES, SHARDS_EACH = 64 << 20, 2
+#: Text bytes that one shard serves, and the least number of shards.
+SHARD_BYTES, LEAST_SHARDS = 32 << 20, 32
 
 #: Fingerprints in one row of a run, documents in one Arrow batch, and text bytes hashed at once:
 #: small, so that an executor never holds a whole run's shard in several copies.
@@ -70,6 +69,18 @@ def unpack(blob: bytes, kind: type) -> np.ndarray:
     return np.cumsum(step, dtype=kind)
 
 
+def pack_head(ids: np.ndarray, marks: np.ndarray, counts: np.ndarray) -> bytes:
+    """Documents of some windows: rising ids and the numbers of their windows as differences, the marks as they are."""
+    a = pack(ids.view(np.uint64))
+    return len(ids).to_bytes(4, "little") + len(a).to_bytes(4, "little") + a + marks.tobytes() + pack(counts.astype(np.uint32))
+
+
+def unpack_head(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, size = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:8], "little")
+    at = 8 + size
+    return unpack(blob[8:at], np.uint64).view(np.int64), np.frombuffer(blob, np.uint32, n, at), unpack(blob[at + 4 * n :], np.uint32)
+
+
 def low_bytes(check: np.ndarray) -> bytes:
     """The three low bytes of each number."""
     return check.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
@@ -112,7 +123,7 @@ def _deal(shards: int, width: int):
             if not len(at):
                 continue
             raw = data.tobytes()
-            marks = np.array([xxhash.xxh64_intdigest(raw[a:b], 42) for a, b in pairwise(offsets.tolist())], np.uint64).view(np.int64)
+            marks = np.array([xxhash.xxh64_intdigest(raw[a:b], 42) for a, b in pairwise(offsets.tolist())], np.uint64).astype(np.uint32)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             h, check = rolled(words.hashes(), width)[at], checks(words, width)[at]
             doc = words.doc[at]
@@ -125,8 +136,8 @@ def _deal(shards: int, width: int):
                 own = order[a:b]
                 starts = np.flatnonzero(np.append(True, np.diff(doc[own]) != 0))
                 some = doc[own][starts]
-                head = np.column_stack([ids[some], marks[some], np.diff(np.append(starts, b - a))]).astype(np.int64)
-                rows.append((int(shard[own[0]]), zstandard.compress(head.tobytes(), 1), h[own].tobytes(), low_bytes(check[own]), pack(place[own])))
+                head = pack_head(ids[some], marks[some], np.diff(np.append(starts, b - a)))
+                rows.append((int(shard[own[0]]), head, h[own].tobytes(), low_bytes(check[own]), pack(place[own])))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["shard", "docs", "hashes", "checks", "places"])
 
     return run
@@ -162,13 +173,12 @@ def _merge(new: pa.Table, runs: pa.Table) -> pa.Table:
     if not new.num_rows:
         return _run_rows(0, np.zeros(0, np.uint64), np.zeros(0, np.uint32))
     shard = new.column("shard")[0].as_py()
-    heads = [np.frombuffer(zstandard.decompress(x), np.int64).reshape(-1, 3) for x in _blobs(new.column("docs"))]
+    ids, marks, counts = map(np.concatenate, zip(*map(unpack_head, _blobs(new.column("docs"))), strict=True))
     h = np.concatenate([np.frombuffer(x, np.uint64) for x in _blobs(new.column("hashes"))])
     check = np.concatenate([from_low_bytes(x) for x in _blobs(new.column("checks"))])
     place = np.concatenate([unpack(x, np.uint32) for x in _blobs(new.column("places"))])
-    head = np.concatenate(heads)
-    group = np.repeat(np.arange(len(head)), head[:, 2])
-    doc = head[:, 0][group]
+    group = np.repeat(np.arange(len(ids)), counts)
+    doc = ids[group]
     order = np.lexsort((doc, check, h))
     sorted_h, sorted_check = h[order], check[order]
     fresh = np.append(True, (sorted_h[1:] != sorted_h[:-1]) | (sorted_check[1:] != sorted_check[:-1]))
@@ -191,7 +201,7 @@ def _merge(new: pa.Table, runs: pa.Table) -> pa.Table:
         ends = np.append(cuts, len(at)).astype(np.int32) * 4
         blobs = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(place[at].tobytes())])
         n = len(cuts)
-        out.append(pa.table({"kind": pa.array(np.zeros(n, np.int32)), "doc_id": pa.array(head[some, 0]), "mark": pa.array(head[some, 1]), "shard": pa.nulls(n, pa.int32()), "blob": blobs}))
+        out.append(pa.table({"kind": pa.array(np.zeros(n, np.int32)), "doc_id": pa.array(ids[some]), "mark": pa.array(marks[some].astype(np.int64)), "shard": pa.nulls(n, pa.int32()), "blob": blobs}))
     return pa.concat_tables(out)
 
 
@@ -231,7 +241,7 @@ def _remove(width: int, hits: str, made_names: list[str]):
 class SubstringIndex:
     """The runs of past batches, and the batches' removals."""
 
-    def __init__(self, spark, shards: int = 32, width: int = WIDTH, fanout: int = FANOUT) -> None:
+    def __init__(self, spark, shards: int = LEAST_SHARDS, width: int = WIDTH, fanout: int = FANOUT) -> None:
         ship(spark)
         self.spark, self.shards, self.width, self.fanout = spark, shards, width, fanout
         self.runs: list[DataFrame] = []
@@ -291,7 +301,7 @@ class SubstringIndex:
         """The other columns of docs with kept_text, n_words and n_removed; kept words are joined by one space."""
         mark, hit_id, hit_mark, blobs = (unused(c, docs.columns) for c in ("mark", "hit_id", "hit_mark", "hits"))
         found = hits.groupBy(F.col("doc_id").alias(hit_id), F.col("mark").alias(hit_mark)).agg(F.collect_list("blob").alias(blobs))
-        keyed = docs.withColumn(mark, F.xxhash64(F.coalesce("text", F.lit(""))))
+        keyed = docs.withColumn(mark, F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)))
         joined = keyed.join(found, (F.col("doc_id").cast("long") == F.col(hit_id)) & (F.col(mark) == F.col(hit_mark)), "left")
         fields = [f for f in docs.schema.fields if f.name != "text"]
         names = [unused(c, [f.name for f in fields]) for c in ("kept_text", "n_words", "n_removed")]
@@ -321,7 +331,7 @@ def dedup_substrings(docs: DataFrame, batches: int = BATCHES, width: int = WIDTH
     least = F.percentile_approx("doc_id", [k / batches for k in range(1, batches)] or [1.0], 1000)
     cuts, size = docs.agg(least, F.sum(F.octet_length("text"))).first()
     if shards is None:
-        shards = max(SHARDS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // SHARD_BYTES)
+        shards = max(LEAST_SHARDS, (size or 0) // SHARD_BYTES)
     cuts = cuts if batches > 1 else []
     cuts = sorted(set(cuts or []))
     index = SubstringIndex(spark, shards, width)
