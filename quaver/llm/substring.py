@@ -1,6 +1,6 @@
 """Substring dedup over a log-structured index of window fingerprints.
 
-Every WIDTH consecutive words of a document are a window with a 64-bit fingerprint and 24 check bits
+Every WIDTH consecutive words of a document are a window with a 64-bit fingerprint and 16 check bits
 of an independent hash. The index is a list of immutable runs; a run holds, per shard, the sorted
 fingerprints of past batches with their check bits.
 ingest() deals the windows of a new batch to shards, sorts them, merge-joins them with every run
@@ -12,7 +12,7 @@ folder that outlives the application, and load() goes on from there.
 A fingerprint is looked up by all of its 64 bits, and what it meets is verified by the check bits,
 which come from independent word hashes; the shard follows from the fingerprint and verifies nothing.
 Texts are not compared: a window meets one of other words by chance only, for one of N windows with
-a chance of about N / 2**88.
+a chance of about N / 2**80.
 
 Edge cases: a null or empty text has no words; texts under WIDTH words keep all of them; rows
 with a null doc_id cannot be ordered: they are kept whole and not indexed; rows of equal doc_id
@@ -48,8 +48,8 @@ SHARD_BYTES, LEAST_SHARDS = 32 << 20, 32
 #: small, so that an executor never holds a whole run's shard in several copies.
 PIECE, ARROW_ROWS = 1 << 14, 1000
 SLICE = 1 << 20
-#: The blobs are packed already: no dictionaries, no second compression, small row groups.
-WRITE = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(4 << 20)}
+#: No dictionaries over the blobs, small row groups; compression is for the places of hits.
+WRITE = {"compression": "zstd", "parquet.enable.dictionary": "false", "parquet.block.size": str(4 << 20)}
 
 DEALT = "shard int, docs binary, hashes binary, checks binary, places binary"
 SETTINGS = "shards long, width long, fanout long, levels array<int>"
@@ -81,31 +81,19 @@ def unpack_head(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return unpack(blob[8:at], np.uint64).view(np.int64), np.frombuffer(blob, np.uint32, n, at), unpack(blob[at + 4 * n :], np.uint32)
 
 
-def low_bytes(check: np.ndarray) -> bytes:
-    """The three low bytes of each number."""
-    return check.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
-
-
-def from_low_bytes(raw) -> np.ndarray:
-    some = np.frombuffer(raw, np.uint8).reshape(-1, 3)
-    out = np.zeros((len(some), 4), np.uint8)
-    out[:, :3] = some
-    return out.view("<u4").ravel()
-
-
 def pack_run(h: np.ndarray, check: np.ndarray) -> bytes:
-    """Check bits, three bytes each after their number, and the sorted fingerprints."""
-    return len(h).to_bytes(4, "little") + low_bytes(check) + pack(h)
+    """Check bits, two bytes each after their number, and the sorted fingerprints."""
+    return len(h).to_bytes(4, "little") + check.tobytes() + pack(h)
 
 
 def unpack_run(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(blob[:4], "little")
-    return unpack(blob[4 + 3 * n :], np.uint64), from_low_bytes(blob[4 : 4 + 3 * n])
+    return unpack(blob[4 + 2 * n :], np.uint64), np.frombuffer(blob, np.uint16, n, 4)
 
 
 def checks(words: Words, width: int) -> np.ndarray:
     """Check bits of each run of `width` words."""
-    return (rolled(words.hashes(1), width, 0x9FB21C651E98DF25) >> np.uint64(40)).astype(np.uint32)
+    return (rolled(words.hashes(1), width, 0x9FB21C651E98DF25) >> np.uint64(48)).astype(np.uint16)
 
 
 def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
@@ -137,7 +125,7 @@ def _deal(shards: int, width: int):
                 starts = np.flatnonzero(np.append(True, np.diff(doc[own]) != 0))
                 some = doc[own][starts]
                 head = pack_head(ids[some], marks[some], np.diff(np.append(starts, b - a)))
-                rows.append((int(shard[own[0]]), head, h[own].tobytes(), low_bytes(check[own]), pack(place[own])))
+                rows.append((int(shard[own[0]]), head, h[own].tobytes(), check[own].tobytes(), pack(place[own])))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["shard", "docs", "hashes", "checks", "places"])
 
     return run
@@ -171,11 +159,11 @@ def _held(known: np.ndarray, check: np.ndarray, run: np.ndarray, run_check: np.n
 def _merge(new: pa.Table, runs: pa.Table) -> pa.Table:
     """One shard: the words that earlier windows cover (kind 0) and the fingerprints that are new (kind 1)."""
     if not new.num_rows:
-        return _run_rows(0, np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+        return _run_rows(0, np.zeros(0, np.uint64), np.zeros(0, np.uint16))
     shard = new.column("shard")[0].as_py()
     ids, marks, counts = map(np.concatenate, zip(*map(unpack_head, _blobs(new.column("docs"))), strict=True))
     h = np.concatenate([np.frombuffer(x, np.uint64) for x in _blobs(new.column("hashes"))])
-    check = np.concatenate([from_low_bytes(x) for x in _blobs(new.column("checks"))])
+    check = np.concatenate([np.frombuffer(x, np.uint16) for x in _blobs(new.column("checks"))])
     place = np.concatenate([unpack(x, np.uint32) for x in _blobs(new.column("places"))])
     group = np.repeat(np.arange(len(ids)), counts)
     doc = ids[group]
