@@ -10,10 +10,13 @@ import argparse
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quaver.operators import canonical, controls, dedupe, inventory, projection, registry, summary, sweep
+from quaver.plans import snapshot
 from quaver.session import ship
 from quaver.sources import sinks, tables
+from quaver.streaming import durable
 
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
@@ -49,16 +52,35 @@ COMMANDS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
 }
 
 
+def _consolidate(spark: SparkSession, args: argparse.Namespace) -> None:
+    items = _rows(spark, args.items)
+    ledger = _rows(spark, args.ledger)
+    shards = [r[0] for r in items.select("shard_id").distinct().orderBy("shard_id").collect()]
+    durable.Run(spark, args.output).run(shards, lambda s: items, lambda s: ledger.where(F.col("shard_id") == s))
+
+
+#: command: (inputs, what it writes); its output is a folder of its own making
+ACTIONS: dict[str, tuple[tuple[str, ...], Callable[[SparkSession, argparse.Namespace], object]]] = {
+    "snapshot-preview": (("items", "bars"), lambda spark, a: snapshot.write(_rows(spark, a.items), _rows(spark, a.bars), a.output, {"name": a.output.rstrip("/").rpartition("/")[2]})),
+    "export-tensors": (("snapshot",), lambda spark, a: snapshot.export_tensors(spark, a.snapshot, a.output)),
+    "build-sidecar": (("notes", "base"), lambda spark, a: snapshot.sidecar(_rows(spark, a.notes), a.base, a.output)),
+    "consolidate-run": (("items", "ledger"), _consolidate),
+}
+
+
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="quaver", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
-    for name, (inputs, _) in COMMANDS.items():
+    for name, (inputs, _) in (COMMANDS | ACTIONS).items():
         sub = commands.add_parser(name)
         for x in inputs:
             sub.add_argument(f"--{x}", required=True, help="a Parquet folder")
         sub.add_argument("--output", required=True, help="a new Parquet folder" if inputs else "the view's folder")
     args = parser.parse_args(arguments)
     spark = ship(spark or SparkSession.builder.appName(f"quaver {args.command}").getOrCreate())
+    if args.command in ACTIONS:
+        ACTIONS[args.command][1](spark, args)
+        return 0
     inputs, compute = COMMANDS[args.command]
     if compute is None:
         return int(not sinks.verify_view(spark, args.output).isEmpty())

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -103,10 +107,28 @@ def families(items: DataFrame) -> DataFrame:
     center = pairs.groupBy("canonical_hash").agg(F.min("piece_id").alias("center"))
     roots = connected_components(pairs.join(center, "canonical_hash").select(F.col("piece_id").alias("a"), F.col("center").alias("b")))
     pieces = pairs.select("piece_id").distinct().join(roots.withColumnRenamed("id", "piece_id"), "piece_id", "left").select("piece_id", F.coalesce("root", "piece_id").alias("root"))
-    ids = pieces.groupBy("root").agg(F.concat(F.lit("family_"), F.substring(F.sha2(F.array_join(F.array_sort(F.collect_set("piece_id")), ","), 256), 1, 24)).alias("family_id"))
+    dealt = pieces.repartition("root").sortWithinPartitions("root", "piece_id")
+    ids = dealt.mapInPandas(_family_ids, "root string, family_id string")
     return pieces.join(ids, "root").select("piece_id", "root", "family_id")
 
 
+def _family_ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The id of each family from its members as they come, in order; none is held."""
+    now, digest = None, hashlib.sha256()
+    for batch in batches:
+        done = []
+        for root, piece in batch[["root", "piece_id"]].itertuples(index=False):
+            if root != now:
+                if now is not None:
+                    done.append((now, "family_" + digest.hexdigest()[:24]))
+                now, digest = root, hashlib.sha256(piece.encode())
+            else:
+                digest.update(b"," + piece.encode())
+        yield pd.DataFrame(done, columns=["root", "family_id"])
+    if now is not None:
+        yield pd.DataFrame([(now, "family_" + digest.hexdigest()[:24])], columns=["root", "family_id"])
+
+
 def family_split(items: DataFrame) -> DataFrame:
     """(piece_id, family_id, split): a family is never divided."""
     return families(items).withColumn("split", hash_split(F.col("family_id"))).select("piece_id", "family_id", "split")

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quaver.operators.ranks import numbered
+from quaver.session import unused
+
 KEY = ["bucket", "key"]
 META = ["size", "etag"]
 MAGIC = b"QUAVPK01"
@@ -112,9 +115,9 @@ def allow_list_paths(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def deletion_batches(records: DataFrame, size: int = 1000) -> DataFrame:
-    """Records with the number of their batch within the bucket, in key order."""
-    place = F.row_number().over(W.partitionBy("bucket").orderBy("key")) - 1
-    return records.withColumn("batch", F.floor(place / size).cast("bigint"))
+    """Records with the number of their batch within the bucket, in key order; a bucket of any size is ranked in ranges."""
+    place = unused("place", records.columns)
+    return numbered(records, ["key"], ("bucket",), place).withColumn("batch", F.floor(F.col(place) / size).cast("bigint")).drop(place)
 
 
 def chunk_plan(objects: DataFrame, chunk: int) -> DataFrame:

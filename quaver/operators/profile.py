@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quaver.operators.controls import nearest_rank
+from quaver.operators.ranks import numbered
 
 CAPS = (64, 96, 128, 160, 192, 224, 256)
 PERCENTS = (50, 75, 90, 95, 99)
@@ -88,16 +89,9 @@ def block_windows(bars: DataFrame, size: int = 4, empty_allowed: bool = False) -
     return (kept if empty_allowed else kept.where("hole = 0")).select("stream_id", F.col("bar_index").alias("start_bar"), "lengths")
 
 
-def number_windows(windows: DataFrame, order: list[str], group: list[str]) -> DataFrame:
-    """Windows numbered from 0 in `order`, without one global sort.
-
-    Groups (a prefix of the order) are numbered within, and shifted by the running count of the
-    groups before; only the counts of the groups meet in one task.
-    """
-    inner = windows.withColumn("place", F.row_number().over(W.partitionBy(*group).orderBy(*order)) - 1)
-    counts = windows.groupBy(*group).agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(W.orderBy(*group).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    return inner.join(before, group).withColumn("window_index", (F.col("before") + F.col("place")).cast("bigint")).drop("before", "place")
+def number_windows(windows: DataFrame, order: list[str]) -> DataFrame:
+    """Windows numbered from 0 in `order`, without one global sort."""
+    return numbered(windows, order, name="window_index")
 
 
 def padded(rows: DataFrame, ids: str, cap: int) -> DataFrame:

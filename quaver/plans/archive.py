@@ -28,13 +28,14 @@ CHUNK = 65536
 PLAN = f"plan as (select bucket, key, unnest(range(cast(ceil(size / {CHUNK}.0) as bigint))) as chunk_index, size from v_inventory where size > 0)"
 
 # The state at an event is looked up by time (asof joins), where the engine runs windows over all events.
-PEDALS = f"""
+EVENTS = f"""
 with {NOTES_SQL},
 raw as (
   select stream_id as file, note_index, onset_tick as tick, 'note_on' as kind, cast(pitch % 12 + 60 as integer) as data1, cast(velocity as integer) as data2 from v_notes
   union all select stream_id, note_index, onset_tick + duration_ticks, 'note_off', cast(pitch % 12 + 60 as integer), 0 from v_notes
   union all select stream_id, note_index, onset_tick + 1, 'control_change', cast([64, 66, 67, 121][note_index % 4 + 1] as integer), cast(note_index % 3 * 63 as integer) from v_notes),
-ev as (select *, row_number() over (partition by file order by tick, note_index, kind, data1) as seq, max(tick) over (partition by file) as last_tick from raw),
+ev as (select *, row_number() over (partition by file order by tick, note_index, kind, data1) as seq, max(tick) over (partition by file) as last_tick from raw)"""
+PEDALS = f"""{EVENTS},
 ctl as (select file, seq, tick, data1 as n, data2 >= 64 as down from ev where kind = 'control_change' and data1 <> 67),
 sustain as (select file, seq, tick, n = 64 and down as down from ctl where n <> 66),
 sostenuto as (select *, coalesce(lag(down) over (partition by file order by seq), false) as prior from (select file, seq, tick, n, n = 66 and down as down from ctl where n <> 64)),
@@ -79,6 +80,11 @@ select p.file, row_number() over (partition by p.file order by p.tick, place, p.
        (select count(*) from taken t where t.file = p.file and t.kind = 'note_off' and not stray and t.on_tick = t.tick) as zero_duration_dropped,
        count(*) filter (where late) over (partition by p.file) as end_of_track_noteoffs
 from placed p"""
+LINE = "concat_ws('|', tick, kind, 0, data1, data2)"
+RECEIPTS = f"""{EVENTS}, flat as ({PEDALS}),
+source as (select file, sha256(string_agg({LINE}, chr(10) order by seq)) as source_sha256, {', '.join(f"count(*) filter (where kind = 'control_change' and data1 = {n}) as n{n}" for n in (64, 66, 67, 121))} from ev group by file),
+output as (select file, sha256(string_agg({LINE}, chr(10) order by seq)) as output_sha256, max(zero_duration_dropped) as zero_duration_dropped, max(end_of_track_noteoffs) as end_of_track_noteoffs from flat group by file)
+select file, source_sha256, output_sha256, n64 as cc64_rendered, n66 as cc66_rendered, n67 as cc67_discarded, n121 as cc121_resets_consumed, zero_duration_dropped, end_of_track_noteoffs from source join output using (file)"""
 PACKS = f"""
 with recursive {INVENTORY_SQL},
 named as (select sha256(bucket || chr(0) || key) as object_id, size from v_inventory),
@@ -266,6 +272,7 @@ select dataset_id, count(*) as sample_size, count(*) filter (where status = 'ACC
 codes as (select dataset_id, 'A' as code from a where place <= 20 union all select dataset_id, 'B' from a where place <= 20 and doc_id % 2 = 1) select dataset_id, code, count(*) as streams from codes group by all""",
     ),
     "pedal_flattening": (_flattened, PEDALS),
+    "conversion_receipts": (lambda s, d: tracks.conversion_receipts(_track_events(s, d), tracks.flatten_pedals(_track_events(s, d))).drop("track_index", "realtime_discarded"), RECEIPTS),
     "midi_round_trip": (
         lambda s, d: _midi_events(s, d).where("kind in ('note_on', 'note_off')").select("file", "tick", "kind", "data1", "data2"),
         f"""with {NOTES_SQL}

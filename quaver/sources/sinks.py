@@ -125,8 +125,8 @@ def npy_header(shape: tuple[int, ...], kind: str) -> bytes:
     return b"\x93NUMPY\x01\x00" + struct.pack("<H", len(text)) + text.encode()
 
 
-def npy_parts(blocks: DataFrame, ids: str = "ids", index: str = "window_index") -> DataFrame:
-    """(part, first, rows, npy): each partition's blocks of equal size as the bytes of an int64 NPY file.
+def npy_parts(blocks: DataFrame, ids: str = "ids", index: str = "window_index", kind: str = "<i8", shape: tuple[int, ...] | None = None) -> DataFrame:
+    """(first, rows, npy): some of the blocks, all of one size, as the bytes of an NPY file, of `shape` each if given.
 
     Parts follow the global index, so a reader concatenates them in order of `first`.
     """
@@ -134,12 +134,22 @@ def npy_parts(blocks: DataFrame, ids: str = "ids", index: str = "window_index")
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                x = np.array([np.stack(v) if len(v) and isinstance(v[0], (list, np.ndarray)) else np.asarray(v) for v in batch[ids]], "<i8")
-                yield pd.DataFrame({"first": [int(batch[index].iloc[0])], "rows": [len(x)], "npy": [npy_header(x.shape, "<i8") + x.tobytes()]})
+                x = np.array([np.stack(v) if len(v) and isinstance(v[0], (list, np.ndarray)) else np.asarray(v) for v in batch[ids]], kind)
+                x = x if shape is None else x.reshape(len(x), *shape)
+                yield pd.DataFrame({"first": [int(batch[index].iloc[0])], "rows": [len(x)], "npy": [npy_header(x.shape, kind) + x.tobytes()]})
 
     return blocks.select(index, ids).repartitionByRange(index).sortWithinPartitions(index).mapInPandas(run, "first long, rows long, npy binary")
 
 
+def write_npy(parts: DataFrame, folder: str) -> list[str]:
+    """The files of npy_parts, named by their first row; they pass the driver one at a time."""
+    spark, names = parts.sparkSession, []
+    for first, _, raw in parts.toLocalIterator():
+        names.append(f"{folder}/part-{first:012d}.npy")
+        write_bytes(spark, names[-1], bytes(raw), overwrite=False)
+    return sorted(names)
+
+
 def write_int64_npy(spark: SparkSession, path: str, values: list[int]) -> str:
     """A small one-dimensional index."""
     x = np.asarray(values, "<i8")
@@ -147,8 +157,10 @@ def write_int64_npy(spark: SparkSession, path: str, values: list[int]) -> str:
 
 
 def write_report(spark: SparkSession, path: str, title: str, df: DataFrame, most: int = 1000) -> str:
-    """A Markdown table of at most `most` rows of a summary."""
-    rows = df.limit(most).collect()
+    """A Markdown table of a summary; a table of more than `most` rows is no summary and refused."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a report of more than {most} rows")
     lines = [f"# {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
     lines += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]
     return write_bytes(spark, path, ("\n".join(lines) + "\n").encode())

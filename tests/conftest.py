@@ -3,6 +3,7 @@ import sys
 
 import pytest
 
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # small products only; before numpy is loaded
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from quaver.session import local_session  # noqa: E402
