@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from quaver.functions import ids
 from quaver.operators import dedupe, profile
-from quaver.plans.adapters import ITEMS_SQL, SPANS_SQL, items, spans
+from quaver.plans import snapshot
+from quaver.plans.adapters import ITEMS_SQL, SHARDS, SPANS_SQL, items, spans
+from quaver.session import materialize, scratch_path, table
+from quaver.streaming import durable
 
 CAPS_SQL = "(select unnest([64, 96, 128, 160, 192, 224, 256]) as cap)"
 
@@ -62,6 +65,22 @@ profile as (
   from measured, {CAPS_SQL} group by cap)"""
 
 
+SELECTED = """, covered as (select *, bars_fit >= 0.99 * bars_total and whole_streams_fit >= 0.99 * whole_streams_total as ok from profile),
+selected as (select coalesce(min(cap) filter (where ok), first(cap order by whole_streams_fit desc, bars_fit desc, cap)) as cap from covered)"""
+SNAPSHOT = f"""with recursive {ITEMS_SQL},{OUTCOME},
+accepted as (select * from outcomes where outcome = 'accepted'),{FAMILY.replace('from v_items', 'from accepted')},
+winners as (select canonical_hash, first(stream_id order by dataset_id, stream_id) as stream_id, first(cast(piece_id as varchar) order by dataset_id, stream_id) as piece_id from accepted group by canonical_hash),
+chosen as (select stream_id, family_id, {split_sql('family_id')} as split from winners join families using (piece_id)),
+lines as (select 'd' || doc_id as stream_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as bar_index from documents),
+v_spans as (select stream_id, bar_index, family_id, split, list_transform(list_filter(string_split(line, ' '), lambda w: w <> ''), lambda w: length(w)) as ids, len(ids) as length from lines join chosen using (stream_id)),{profile_sql()}{SELECTED},
+kept as (select *, list_resize(ids, cap, 0) as padded from v_spans, selected where stream_id not in (select stream_id from v_spans, selected where length > cap)),
+ahead as (
+  select *, list(length) over w as lengths, list(padded) over w as blocks, count(*) over w as n, min(length) over w as least
+  from kept window w as (partition by stream_id order by bar_index rows between current row and 3 following))
+select row_number() over (order by stream_id, bar_index) - 1 as window_index, stream_id, family_id, split, bar_index as start_bar, cap, lengths, sha256(array_to_string(flatten(blocks), ',')) as ids_sha256
+from ahead where n = 4 and least > 0"""
+
+
 CHOICE = """, covered as (select *, bars_fit >= 0.99 * bars_total and whole_streams_fit >= 0.99 * whole_streams_total as ok from profile)
 select coalesce(min(cap) filter (where ok), first(cap order by whole_streams_fit desc, bars_fit desc, cap)) as selected_cap, bool_or(ok) as covered from covered"""
 
@@ -77,9 +96,32 @@ def _split_counters(s, d):
 
 
 def _padded(s, d):
-    bars = spans(s, d).where("length <= 64")
-    rows = bars.withColumn("ids", F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("length")), lambda i: i + F.col("bar_index")))
-    return profile.padded(rows, "ids", 64).select("stream_id", "bar_index", "ids", "mask")
+    """Bars of the streams that fit whole, filled up to the selected cap."""
+    bars = spans(s, d)
+    cap = profile.cap_choice(bars).first().selected_cap
+    rows = bars.join(bars.where(F.col("length") > cap).select("stream_id").distinct(), "stream_id", "left_anti")
+    rows = rows.withColumn("ids", F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("length")), lambda i: i + F.col("bar_index")))
+    return profile.padded(rows, "ids", cap).select("stream_id", "bar_index", "ids", "mask")
+
+
+def bars(s, d):
+    """Lines of documents as bars of words; a word's id is its length."""
+    lines = table(s, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("stream_id"), F.posexplode(F.split("text", "\n")).alias("bar_index", "line"))
+    words = F.filter(F.split("line", " "), lambda w: w != "")
+    return lines.select("stream_id", F.col("bar_index").cast("bigint").alias("bar_index"), F.transform(words, lambda w: F.length(w).cast("bigint")).alias("ids"), (F.size(words) == 0).alias("is_empty"))
+
+
+def _snapshot(s, d):
+    windows = snapshot.build(items(s, d), bars(s, d))["windows"]
+    joined = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return windows.select("window_index", "stream_id", "family_id", "split", "start_bar", "cap", "lengths", F.sha2(joined, 256).alias("ids_sha256"))
+
+
+def _consolidated(s, d):
+    rows = materialize(items(s, d).select("stream_id", "shard_id", "canonical_hash"), "packages")
+    run = durable.Run(s, scratch_path(s, "consolidation"))
+    run.run(range(SHARDS), lambda shard: rows, lambda shard: rows.where(F.col("shard_id") == shard))
+    return run.rows()
 
 
 def _tracks(s, d):
@@ -189,7 +231,7 @@ select split, count(distinct stream_id) as streams, count(*) as bars, cast(sum(l
         ),
     ),
     "snapshot_windows": (
-        lambda s, d: profile.number_windows(profile.block_windows(spans(s, d)), ["stream_id", "start_bar"], ["stream_id"]),
+        lambda s, d: profile.number_windows(profile.block_windows(spans(s, d)), ["stream_id", "start_bar"]),
         _s(
             """, ahead as (select stream_id, bar_index, list(length) over w as lengths, count(*) over w as n, max(is_empty::int) over w as hole from v_spans window w as (partition by stream_id order by bar_index rows between current row and 3 following))
 select stream_id, bar_index as start_bar, lengths, row_number() over (order by stream_id, bar_index) - 1 as window_index from ahead where n = 4 and hole = 0"""
@@ -205,7 +247,14 @@ select stream_id, bar_index as start_bar, lengths from ahead where n = 4"""
     "padded_blocks": (
         _padded,
         _s(
-            """ select stream_id, bar_index, list_transform(range(1, 65), lambda i: case when i <= length then i + bar_index else 0 end) as ids, list_transform(range(1, 65), lambda i: i <= length) as mask from v_spans where length <= 64"""
+            f""",{profile_sql()}{SELECTED}
+select stream_id, bar_index, list_transform(range(1, cap + 1), lambda i: case when i <= length then i + bar_index else 0 end) as ids, list_transform(range(1, cap + 1), lambda i: i <= length) as mask
+from v_spans, selected where stream_id not in (select stream_id from v_spans, selected where length > cap)"""
         ),
     ),
+    "snapshot_build": (_snapshot, SNAPSHOT),
+    "consolidate_run": (
+        _consolidated,
+        _i(f",{OWNERS} select stream_id, shard_id, v.canonical_hash, case when stream_id = kept_stream_id then 'UNIQUE' else 'DUPLICATE' end as status, kept_stream_id, kept_shard_id from v_items v join owners using (canonical_hash)"),
+    ),
 }
