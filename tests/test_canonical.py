@@ -42,6 +42,11 @@ def test_primitive_features(f1):
     assert (rows[2].note_count, rows[2].max_polyphony, rows[2].occupied_fraction, rows[2].rest_fraction, rows[2].median_pitch) == (0, 0, 0.0, 1.0, None)
 
 
+def test_notes_without_length_sound_nowhere(spark):
+    row = sweep.primitive_features(make(spark, [(100, 0, 60, 50), (200, 100, 64, 70), (300, 100, 62, 90)])).where("bar_index = 0").first()
+    assert (row.note_count, row.max_polyphony, row.occupied_fraction, row.median_duration, row.mean_velocity) == (3, 1, 200 / 1920, 100.0, 70.0)
+
+
 def test_projection(f2):
     bars = projection.live_bars(f2).orderBy("bar_index").collect()
     assert [b.occupied for b in bars] == [True, False, True, True]

@@ -41,3 +41,17 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_without_the_optional_modules(monkeypatch):
+    import importlib
+
+    def refuse(name, *rest):
+        if name.startswith("quaver.llm") or name == "corpus_pipeline":
+            raise ModuleNotFoundError(f"No module named '{name}'")
+        return real(name, *rest)
+
+    real = importlib.import_module
+    monkeypatch.setattr(importlib, "import_module", refuse)
+    assert "bar_polyphony" in entry.queries() and not [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
+    assert set(entry.oracle_sql()) <= set(entry.queries())
