@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quaver.operators.canonical import bar_grid
+from quaver.operators.projection import live_bars
 from quaver.operators.sweep import polyphony, voices
 
 BAR = ["stream_id", "bar_index"]
@@ -156,12 +157,20 @@ def overlap_pairs(notes: DataFrame) -> DataFrame:
     return counted.where("begun = 1").groupBy(*BAR).agg(F.sum(F.col("sounding") - 1).alias("overlap_count"))
 
 
+def time_signature(notes: DataFrame) -> DataFrame:
+    """The meter of every stream: its notes' numerator and denominator, or else quarters to a bar."""
+    has = {"numerator", "denominator"} <= set(notes.columns)
+    numerator, denominator = (F.col("numerator"), F.col("denominator")) if has else (F.col("beats"), F.lit(4))
+    return notes.groupBy("stream_id").agg(F.max(numerator.cast("int")).alias("numerator"), F.max(denominator.cast("int")).alias("denominator"))
+
+
 def bar_controls(notes: DataFrame) -> DataFrame:
-    """The controls of every bar side by side; each part is clustered by bar already."""
-    out = bar_grid(notes).withColumn("bar_count", F.count("*").over(W.partitionBy("stream_id")))
-    out = out.select(*BAR, ((F.col("bar_index") + 0.5) / F.col("bar_count")).alias("source_position"), F.col("bar_count").alias("source_bar_count"))
+    """The controls of every bar side by side, with its lifecycle fields; each part is clustered by bar already."""
+    out = live_bars(notes).select(*BAR, "source_position", "source_bar_count", "segment_id", "segment_position")
     poly = polyphony(notes).withColumnRenamed("occupied", "occupancy")
     parts = [rhythmic_density, contour_reversals, pitch_entropy, tonal_center, pitch_trend, interval_magnitude, pitch_span, duration_tendency, grid_rigidity, articulation, overlap_pairs]
     for part in [poly, voices(notes), *(f(notes) for f in parts)]:
         out = out.join(part, BAR, "left")
-    return out.fillna(0, ["max_voices", "occupancy", "polyphonic_fraction", "time_weighted_voices", "overlap_count"])
+    out = out.fillna(0, ["max_voices", "occupancy", "polyphonic_fraction", "time_weighted_voices", "overlap_count"])
+    # the register's second candidate is the plain median too, as the feature contract has it
+    return out.join(time_signature(notes), "stream_id").withColumns({"duration_weighted_median_candidate": F.col("median_pitch"), "mode": F.lit("UNKNOWN")})

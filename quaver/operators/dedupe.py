@@ -150,6 +150,11 @@ def partial_upsert(old: DataFrame, new: DataFrame, key: list[str], updated: list
     return joined.select(*key, *[(F.coalesce(f"b.{c}", f"a.{c}") if c in updated else F.coalesce(f"a.{c}", f"b.{c}")).alias(c) for c in rest])
 
 
+def replace_streams(old: DataFrame, new: DataFrame, key: str = "stream_id") -> DataFrame:
+    """Rows of old, but for streams that new has: all of their rows go, and new's come."""
+    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new.select(*old.columns))
+
+
 def sibling_tracks(tracks: DataFrame) -> DataFrame:
     """Candidate tracks (no drums, with notes) and the other tracks of their piece, in track order."""
     every = F.array_sort(F.collect_list(F.struct("track_index", "track_id")).over(W.partitionBy("piece_id")))

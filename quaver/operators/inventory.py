@@ -83,6 +83,11 @@ def ledger_difference(declared: DataFrame, actual: DataFrame) -> DataFrame:
     return a.unionAll(actual.exceptAll(declared).withColumn("side", F.lit("actual")))
 
 
+def ledger_intersection(declared: DataFrame, actual: DataFrame) -> DataFrame:
+    """Ids that both sides have, each once."""
+    return declared.intersect(actual)
+
+
 def package_overlap(packages: DataFrame) -> DataFrame:
     """(item_id, shard_id, owner): items of more than one shard, for each shard but the smallest."""
     owner = packages.groupBy("item_id").agg(F.min("shard_id").alias("owner"), F.max("shard_id").alias("last")).where("owner != last")

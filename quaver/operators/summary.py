@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaver.operators.controls import CONTROLS, nearest_rank
+from quaver.operators.controls import CONTROLS
+from quaver.operators.ranks import running
 
 NUMERIC = ("rhythmic_density", "occupancy", "contour_reversal")
 POLICIES = ("fixed-bar", "fractional-position", "asymmetric", "hybrid")
@@ -15,22 +16,23 @@ LABELS = ("START", "CRUISE", "END")
 def characterize(rows: DataFrame, numeric: tuple[str, ...] = NUMERIC) -> DataFrame:
     """Per control: present and missing rows, moments, nearest-rank quantiles and status.
 
-    Only scalar controls have numbers; composite controls are present in every row. One pass: the
-    scalar controls are unpivoted and aggregated together.
+    Only scalar controls have numbers; composite controls are present in every row. One pass over the
+    rows counts the distinct values of each control; what follows works on these counts, in
+    ranges of the values, so that no buffer holds all values of a control.
     """
     long = rows.select(F.inline(F.array(*[F.struct(F.lit(c).alias("control"), F.col(c).cast("double").alias("v")) for c in numeric])))
-    stats = long.groupBy("control").agg(
-        F.count("*").alias("n"),
-        F.count("v").alias("present"),
-        F.avg("v").alias("mean"),
-        F.stddev_pop("v").alias("std"),
-        nearest_rank("v", 0.1).alias("p10"),
-        nearest_rank("v", 0.5).alias("p50"),
-        nearest_rank("v", 0.9).alias("p90"),
-    )
-    total = rows.agg(F.count("*").alias("n"))
+    counts = running(long.groupBy("control", "v").agg(F.count("*").alias("n")), "n", ["v"], ("control",))
+    known = F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)
+    stats = counts.groupBy("control").agg(F.sum("n").alias("n"), F.sum(known).alias("present"), (F.sum(F.col("v") * F.col("n")) / F.sum(known)).alias("mean")).hint("broadcast")
+    # a row for every control; nulls come first in the order of the values
+    joined = counts.join(stats.select("control", F.col("n").alias("all"), "present", "mean"), "control")
+    upto = F.col("before") + F.col("n") - (F.col("all") - F.col("present"))
+    rank = lambda tenths: F.min(F.when(F.col("v").isNotNull() & (upto * 10 >= F.col("present") * tenths), F.col("v")))
+    spread = F.sum(F.pow(F.col("v") - F.col("mean"), 2) * F.col("n")) / F.max("present")
+    numbers = joined.groupBy("control").agg(F.max("all").alias("n"), F.max("present").alias("present"), F.max("mean").alias("mean"), F.sqrt(spread).alias("std"), rank(1).alias("p10"), rank(5).alias("p50"), rank(9).alias("p90"))
+    total = stats.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"))
     others = total.select(F.explode(F.array(*[F.lit(c) for c in CONTROLS if c not in numeric])).alias("control"), "n", F.col("n").alias("present"))
-    every = stats.unionByName(others, allowMissingColumns=True)
+    every = numbers.unionByName(others, allowMissingColumns=True)
     return every.select("control", "present", (F.col("n") - F.col("present")).alias("missing"), "mean", "std", "p10", "p50", "p90", F.when(F.col("present") > 0, "ACCEPTED_FOR_MODELING").otherwise("DEFERRED").alias("status"))
 
 

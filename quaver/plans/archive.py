@@ -220,6 +220,7 @@ TABLE = {
         lambda s, d: inv.ledger_difference(*[x.select("key") for x in old_and_new(s, d)]),
         _v(" (select key, 'declared' as side from v_old where key not in (select key from v_new)) union all (select key, 'actual' from v_new where key not in (select key from v_old))"),
     ),
+    "ledger_intersection": (lambda s, d: inv.ledger_intersection(*(x.select("key") for x in old_and_new(s, d))), _v(" select key from v_old intersect select key from v_new")),
     "allow_list_semijoin": (
         lambda s, d: inventory(s, d).join(old_and_new(s, d)[1].select("bucket", "key"), ["bucket", "key"], "left_semi").select("bucket", "key", "size"),
         _v(" select bucket, key, size from v_inventory where key % 10 <> 1"),

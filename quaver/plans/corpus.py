@@ -124,6 +124,13 @@ def _consolidated(s, d):
     return run.rows()
 
 
+def _replaced(s, d):
+    """Every fifth stream rebuilt with its even bars only."""
+    rows = spans(s, d).select("stream_id", "bar_index", "length")
+    again = rows.where((F.substring("stream_id", 2, 20).cast("bigint") % 5 == 0) & (F.col("bar_index") % 2 == 0))
+    return dedupe.replace_streams(rows, again.withColumn("length", F.col("length") + 1000))
+
+
 def _tracks(s, d):
     return items(s, d).select("piece_id", F.col("stream_id").alias("track_id"), F.col("doc_id").alias("track_index"), (F.col("doc_id") % 5 == 0).alias("is_drum"), (F.col("doc_id") % 7 != 0).alias("has_notes"))
 
@@ -193,6 +200,10 @@ from tracks t where t.doc_id % 5 <> 0 and t.doc_id % 7 <> 0"""
         _partial_upsert,
         _i(" select stream_id, case when doc_id % 3 <> 1 then 'moved' else dataset_id end as dataset_id, case when doc_id % 3 = 0 then -piece_id else piece_id end as piece_id, shard_id from v_items"),
     ),
+    "replace_streams": (
+        _replaced,
+        _s(" select stream_id, bar_index, length from v_spans where cast(substr(stream_id, 2) as bigint) % 5 <> 0 union all select stream_id, bar_index, length + 1000 from v_spans where cast(substr(stream_id, 2) as bigint) % 5 = 0 and bar_index % 2 = 0"),
+    ),
     "length_percentiles": (
         lambda s, d: profile.length_percentiles(spans(s, d)),
         _s(" select " + ", ".join(f"quantile_disc(length, {p / 100}) as p{p}" for p in profile.PERCENTS) + ", max(length) as max from v_spans"),

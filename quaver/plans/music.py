@@ -252,3 +252,18 @@ cells as (select policy, scope, value, unnest(['START', 'CRUISE', 'END']) as lab
         _sql(f"{CLIPPED},{SWEEP},{LOCAL},{PROJECTED},{ROWS}", "select policy, stream_id, bar_index, label, source_position::double as source_position, segment_position from labelled where segment_position = 0 or bar_index = 0 or bar_index = source_bar_count - 1"),
     ),
 }
+
+_PARTS = "bar_polyphony bar_voices rhythmic_density contour_reversals pitch_entropy tonal_center theil_sen_trend interval_magnitude pitch_span duration_tendency grid_rigidity articulation overlap_pairs".split()
+TABLE["bar_controls"] = (
+    lambda s, d: rounded(controls.bar_controls(notes(s, d)), "entropy", "theil_sen", "median_duration_to_next_onset"),
+    "with "
+    + ",\n".join(f"part_{name} as ({TABLE[name][1]})" for name in ("live_bars", *_PARTS))
+    + """
+select stream_id, bar_index, source_position, source_bar_count, segment_id, segment_position,
+       coalesce(max_voices, 0) as max_voices, coalesce(b.occupied, 0)::double as occupancy, coalesce(polyphonic_fraction, 0)::double as polyphonic_fraction,
+       coalesce(time_weighted_voices, 0)::double as time_weighted_voices, rhythmic_density, contour_reversal, unique_count, entropy, tonic_pc, modal_pc, score_margin, evidence_count,
+       theil_sen, first_last, median_abs_interval, p90_abs_interval, median_pitch, p90_p10, absolute, p25, median, p75, exact_grid_fraction, residual_sum, declared_resolution_ticks,
+       median_duration_to_next_onset, coalesce(overlap_count, 0) as overlap_count, 4 as numerator, 4 as denominator, median_pitch as duration_weighted_median_candidate, 'UNKNOWN' as mode
+from part_live_bars l left join part_bar_polyphony b using (stream_id, bar_index)"""
+    + "".join(f" left join part_{name} using (stream_id, bar_index)" for name in _PARTS[1:]),
+)
