@@ -56,6 +56,44 @@ def dedupe_violations(rows: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionAll, checks)
 
 
+def record_violations(records: DataFrame, labels: tuple[str, ...], splits: tuple[str, ...] = ("train", "validation", "test"), siblings: int | None = None) -> DataFrame:
+    """Candidate records: (stream_id, label, split, status, canonical_hash, reason_codes, sibling_track_ids, receipt_sha256, declared_receipt_sha256)."""
+    key = F.col("stream_id")
+    missing = lambda c: f"{c} is null or {c} = ''"
+    checks = [
+        _rule("unknown label", records.where(~F.coalesce(F.col("label").isin(*labels), F.lit(False))), key),
+        _rule("unknown split", records.where(~F.coalesce(F.col("split").isin(*splits), F.lit(False))), key),
+        _rule("unknown status", records.where("coalesce(status not in ('ACCEPT', 'REJECT'), true)"), key),
+        _rule("receipt is not the declared one", records.where("not receipt_sha256 <=> declared_receipt_sha256"), key),
+        _rule("accepted without a hash", records.where("status = 'ACCEPT'").where(missing("canonical_hash")), key),
+        _rule("rejected without a reason", records.where("status = 'REJECT' and coalesce(size(reason_codes), 0) <= 0"), key),
+        _rule("record repeats", records.groupBy("stream_id").count().where("count > 1"), key),
+    ]
+    if siblings is not None:
+        checks.append(_rule("wrong number of siblings", records.where(F.coalesce(F.size("sibling_track_ids"), F.lit(-1)) != siblings), key))
+    return reduce(DataFrame.unionAll, checks)
+
+
+def window_violations(windows: DataFrame, members: DataFrame, cap: int, size: int = 4) -> DataFrame:
+    """Packed windows against the cap and their streams' membership: (window_index, stream_id, split, lengths, ids, mask)."""
+    key = F.col("window_index")
+    padding = F.exists(F.arrays_zip("ids", "mask"), lambda x: ~x["mask"] & (x["ids"] != 0))
+    real = F.size(F.filter("mask", lambda m: m))
+    numbers = windows.agg(F.count("*").alias("n"), F.count_distinct("window_index").alias("distinct"), F.min("window_index").alias("least"), F.max("window_index").alias("most"))
+    named = windows.join(members.select("stream_id", F.col("split").alias("member_split")), "stream_id", "left")
+    checks = [
+        _rule("window of a wrong shape", windows.where((F.size("ids") != size * cap) | (F.size("mask") != size * cap) | (F.size("lengths") != size)), key),
+        _rule("bar over the cap", windows.where(F.array_max("lengths") > cap), key),
+        _rule("empty bar in a window", windows.where(F.array_min("lengths") <= 0), key),
+        _rule("padding is not zero", windows.where(padding), key),
+        _rule("mask is not the lengths", windows.where(real != F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, b: a + b)), key),
+        _rule("window of no member", named.where("member_split is null"), key),
+        _rule("window in another split than its stream", named.where("split != member_split"), key),
+        _rule("window numbers have gaps", numbers.where("n > 0 and (n != distinct or least != 0 or most != n - 1)"), F.col("n")),
+    ]
+    return reduce(DataFrame.unionAll, checks)
+
+
 def require_none(violations: DataFrame) -> None:
     """Raise with the first violations if there are any."""
     some = violations.limit(20).collect()

@@ -167,6 +167,22 @@ def _violations(s, d):
     return validation.note_violations(broken, canonical_bars(n))
 
 
+def _record_violations(s, d):
+    n = F.col("doc_id")
+    rows = items(s, d).select(
+        "stream_id",
+        F.concat(F.lit("L"), (n % 5).cast("string")).alias("label"),
+        F.when(n % 7 == 0, "other").otherwise(ids.hash_split(F.col("stream_id"))).alias("split"),
+        F.col("receipt_status").alias("status"),
+        F.when(n % 3 != 0, F.col("canonical_hash")).alias("canonical_hash"),
+        F.when(n % 2 == 0, F.array(F.lit("A"))).otherwise(F.array().cast("array<string>")).alias("reason_codes"),
+        F.array_repeat(F.lit("x"), (n % 4).cast("int")).alias("sibling_track_ids"),
+        F.col("canonical_hash").alias("receipt_sha256"),
+        F.when(n % 11 != 0, F.col("canonical_hash")).alias("declared_receipt_sha256"),
+    )
+    return validation.record_violations(rows, ("L0", "L1", "L2", "L3"), siblings=3)
+
+
 def _split_violations(s, d):
     rows = items(s, d)
     by_piece = rows.select(F.col("piece_id").cast("string").alias("piece_id")).distinct().withColumn("split", ids.hash_split(F.col("piece_id")))
@@ -289,6 +305,14 @@ select stream_id as file, cast(0 as integer) as track_index, [cast(0 as integer)
         _violations,
         f"""with {NOTES_SQL} select 'velocity out of range' as rule, stream_id || ':' || note_index as key from v_notes where note_index % 40 = 0""",
     ),
+    "record_violations": (
+        _record_violations,
+        f"""with {ITEMS_SQL}, r as (select stream_id as key, doc_id as n, receipt_status as s from v_items)
+select 'unknown label' as rule, key from r where n % 5 = 4 union all select 'unknown split', key from r where n % 7 = 0 union all select 'unknown status', key from r where s is null
+union all select 'receipt is not the declared one', key from r where n % 11 = 0 union all select 'accepted without a hash', key from r where s = 'ACCEPT' and n % 3 = 0
+union all select 'rejected without a reason', key from r where s = 'REJECT' and n % 2 = 1 union all select 'wrong number of siblings', key from r where n % 4 <> 3
+union all select 'record repeats', key from r group by key having count(*) > 1""",
+    ),
     "split_violations": (
         _split_violations,
         f"""with {ITEMS_SQL}, s as (select canonical_hash, {SPLIT} as split from (select canonical_hash, cast(piece_id as varchar) as p from v_items))

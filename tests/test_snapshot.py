@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaver import cli
+from quaver.operators import validation
 from quaver.operators.ranks import numbered
 from quaver.plans import snapshot
 from quaver.sources import sinks
@@ -65,6 +66,25 @@ def test_snapshot_commands(spark, tmp_path):
         snapshot.sidecar(notes, base, str(tmp_path / "other"))
 
 
+def test_window_violations(spark):
+    items, bars = corpus(spark)
+    members = snapshot.membership(items)
+    good = snapshot.packed_windows(members, bars, 16).cache()
+    assert validation.window_violations(good, members, 16).count() == 0
+    broken = {
+        "window of a wrong shape": good.withColumn("ids", F.slice("ids", 1, 9)),
+        "bar over the cap": good.withColumn("lengths", F.transform("lengths", lambda x: x * 0 + 17)),
+        "empty bar in a window": good.withColumn("lengths", F.transform("lengths", lambda x: x * 0)),
+        "padding is not zero": good.withColumn("ids", F.transform("ids", lambda x: x + 1)),
+        "mask is not the lengths": good.withColumn("mask", F.transform("mask", lambda x: F.lit(True))),
+        "window of no member": good.withColumn("stream_id", F.lit("zz")),
+        "window in another split than its stream": good.withColumn("split", F.lit("elsewhere")),
+        "window numbers have gaps": good.withColumn("window_index", F.col("window_index") + 1),
+    }
+    for rule, rows in broken.items():
+        assert rule in {r.rule for r in validation.window_violations(rows, members, 16).collect()}
+
+
 def shards(spark):
     rows = [("oak", 0, "x1"), ("elm", 0, "x2"), ("ash", 1, "x1"), ("fir", 1, "x3"), ("yew", 2, "x2"), ("box", 2, "x1"), ("bay", 2, "x4")]
     return spark.createDataFrame(rows, "stream_id string, shard_id int, canonical_hash string")
